@@ -1,0 +1,213 @@
+"""Removal of repeated byte strings, one suffix bucket at a time.
+
+Every suffix that is at least WINDOW bytes long belongs to the bucket of its anchor, a sample position that equal
+windows share (anchors.py). Neighbouring suffixes of a bucket form runs. A bucket is sorted by the precomputed name of
+the run's whole text, which settles all suffixes of equal runs at once, however long the repeat; only buckets that hold
+different runs have their bytes fetched and their suffixes compared one by one. README says how this differs from a
+difference cover over positions, and why.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .anchors import WINDOW, runs
+from .common import table
+from .words import chunks, mix, prefix, spans
+
+#: A run's place as one number: first window * PACK + windows (a run has fewer than PACK, as its windows share an anchor).
+PACK = 128
+#: Windows whose hashes are held at once while buckets are resolved.
+HELD = 1 << 20
+LAST = (1 << 63) - 1
+
+
+def _runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """(doc, text) to (key, span, doc, place). A run that equals an earlier one of this task is settled here: its place is
+    negative and its key random, so that a frequent passage sends one row per task to its bucket."""
+
+    def give(held: list[tuple]) -> pa.RecordBatch:
+        anchor, span, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, doc, span, anchor))
+        anchor, span, doc, place = anchor[order], span[order], doc[order], place[order]
+        again = np.zeros(len(anchor), bool)
+        # Equal ids and places are one document that is there twice; neither is before the other.
+        again[1:] = (anchor[1:] == anchor[:-1]) & (span[1:] == span[:-1])
+        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(anchor))))
+        settled = (doc != doc[first]) | (place != place[first])
+        key = np.where(settled, mix(doc.view(np.uint64) * np.uint64(31) + place.view(np.uint64)), anchor)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.where(settled, np.uint64(0), span).view(np.int64)), pa.array(doc), pa.array(np.where(settled, -place - 1, place))], ["key", "span", "doc", "place"])
+
+    held, n = [], 0
+    for b in batches:
+        docs = b.column(0).to_numpy(zero_copy_only=False)
+        for first, off, buf in chunks(pc.fill_null(b.column(1), "")):
+            r = runs(off, buf)
+            held.append((r["anchor"], r["span"], docs[first + r["row"]], r["start"] * PACK + r["n"]))
+            n += len(r["row"])
+            if n >= most:
+                yield give(held)
+                held, n = [], 0
+    if n:
+        yield give(held)
+
+
+def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs sorted by (key, span, doc, place) to (doc, place, anchor): repeats of an earlier run with a null anchor; and,
+    where a bucket holds several names, the first run of each with its anchor. Only the last run is carried on."""
+    last: tuple | None = None  # key, span, doc, place of the first run of the name at hand
+    alone = False  # that run is all there is of its bucket so far, and hasn't been given
+    for b in batches:
+        key, span, doc, place = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+        if not len(key):
+            continue
+        done = place < 0
+        out_doc, out_place, out_anchor = [doc[done]], [-place[done] - 1], [np.zeros(int(done.sum()), np.int64)]
+        real = [np.zeros(int(done.sum()), bool)]
+        key, span, doc, place = (x[~done] for x in (key, span, doc, place))
+        if len(key):
+            if last is not None:
+                key, span, doc, place = (np.concatenate(([v], x)) for v, x in zip(last, (key, span, doc, place), strict=True))
+            same_key = np.concatenate(([False], key[1:] == key[:-1]))
+            same = same_key & np.concatenate(([False], span[1:] == span[:-1]))
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
+            dup = same & ((doc != doc[first]) | (place != place[first]))
+            head = ~same
+            # A name's first run is ambiguous if its bucket has another name: before it, or after it.
+            heads = np.flatnonzero(head)
+            later = np.append(key[heads[1:]] == key[heads[:-1]], False)
+            unclear = same_key[heads] | later
+            given = np.ones(len(heads), bool)
+            if last is not None:
+                given[0] = alone  # carried over: given before, unless it was alone
+            pick = heads[unclear & given]
+            out_doc += [doc[dup], doc[pick]]
+            out_place += [place[dup], place[pick]]
+            out_anchor += [np.zeros(int(dup.sum()), np.int64), key[pick]]
+            real += [np.zeros(int(dup.sum()), bool), np.ones(len(pick), bool)]
+            z = heads[-1]
+            alone = bool(given[-1] and not unclear[-1])
+            last = (key[z], span[z], doc[z], place[z])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_place)), pa.array(np.concatenate(out_anchor), mask=~np.concatenate(real))], ["doc", "place", "anchor"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, text) to (doc, compressed text), for the way to its task."""
+    press = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press.compress(t) if t is not None else None for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["doc", "packed"])
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(packed, runs) to the bytes of each run."""
+    press = zstandard.ZstdDecompressor()
+    for b in batches:
+        rows = []
+        for doc, packed, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            text = press.decompress(packed) if packed is not None else b""
+            rows += [(r["anchor"], doc, r["place"], text[r["place"] // PACK : r["place"] // PACK + r["place"] % PACK + WINDOW - 1]) for r in own]
+            if len(rows) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "doc", "place", "bytes"])
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "doc", "place", "bytes"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Runs with their bytes, sorted by (anchor, doc, place), to the suffixes that start earlier too, as runs (doc, place).
+    A bucket may go on over batches: the names of its suffixes are carried on, 8 bytes each, with their first place."""
+    old = (None, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))  # anchor, names, doc, start
+    for b in batches:
+        for at in range(0, b.num_rows, most // PACK):
+            part = b.slice(at, most // PACK)
+            anchor, doc, place = (part.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            text = part.column(3).to_pylist()
+            n = place % PACK
+            whole = np.array([len(t) for t in text]) >= n + WINDOW - 1
+            anchor, doc, place, n = anchor[whole], doc[whole], place[whole], n[whole]
+            text = [t for t, ok in zip(text, whole.tolist(), strict=True) if ok]
+            if not len(n):
+                continue
+            buf = np.frombuffer(b"".join(text), np.uint8)
+            begin = np.concatenate(([0], np.cumsum([len(t) for t in text])[:-1])).astype(np.int64)
+            run = np.repeat(np.arange(len(n)), n)
+            inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+            s = begin[run] + inner
+            name = mix(spans(prefix(buf), s, s + WINDOW) ^ mix(anchor.view(np.uint64))[run])
+            wdoc, wstart = doc[run], (place // PACK)[run] + inner
+            if old[0] == anchor[0]:
+                name_, doc_, start_ = np.concatenate((old[1], name)), np.concatenate((old[2], wdoc)), np.concatenate((old[3], wstart))
+            else:
+                name_, doc_, start_ = name, wdoc, wstart
+            kept = len(name_) - len(name)
+            order = np.lexsort((start_, doc_, name_))
+            new = np.concatenate(([True], name_[order][1:] != name_[order][:-1]))
+            first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            dup_sorted = (doc_[order] != doc_[order][first]) | (start_[order] != start_[order][first])
+            dup = np.zeros(len(order), bool)
+            dup[order] = dup_sorted
+            tail = anchor[-1] == (np.concatenate((np.full(kept, old[0] if old[0] is not None else 0), anchor[run])) if kept else anchor[run])
+            one = np.zeros(len(order), bool)
+            one[order] = new
+            old = (anchor[-1], name_[one & tail], doc_[one & tail], start_[one & tail])
+            d = dup[kept:]
+            edge = np.ones(len(d), bool)
+            edge[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
+            starts = np.flatnonzero(edge & d)
+            ends = np.flatnonzero(np.append(edge[1:], True) & d) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(wdoc[starts]), pa.array(wstart[starts] * PACK + (ends - starts))], ["doc", "place"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, packed, places) to what is left of each text."""
+    press = zstandard.ZstdDecompressor()
+    for b in batches:
+        rows = []
+        for doc, packed, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            text = press.decompress(packed) if packed is not None else b""
+            places = own.values.to_numpy(zero_copy_only=False) if own.is_valid else np.zeros(0, np.int64)
+            if not len(places):
+                rows.append((doc, len(text), 0, 0, hashlib.sha256(text).hexdigest()))
+                continue
+            mark = np.zeros(len(text) + 1, np.int32)
+            np.add.at(mark, np.minimum(places // PACK, len(text)), 1)
+            np.add.at(mark, np.minimum(places // PACK + places % PACK + WINDOW - 1, len(text)), -1)
+            gone = np.cumsum(mark[:-1]) > 0
+            rest = np.frombuffer(text, np.uint8)[~gone].tobytes()
+            rows.append((doc, len(text), int(gone.sum()), int((gone & ~np.concatenate(([False], gone[:-1]))).sum()), hashlib.sha256(rest).hexdigest()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """docs: doc (bigint), text. Returns (doc, place): runs of windows that also start earlier, as start * PACK + windows."""
+    dealt = docs.mapInArrow(_runs, "key bigint, span bigint, doc bigint, place bigint").repartition("key").sortWithinPartitions("key", "span", "doc", "place")
+    found = table(dealt.mapInArrow(_resolve, "doc bigint, place bigint, anchor bigint"), "suffix-runs")
+    unclear = found.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("place", "anchor")).alias("runs"))
+    packed = docs.mapInArrow(_pack, "doc bigint, packed binary")
+    texts = packed.join(unclear, "doc").select("doc", "packed", "runs").mapInArrow(_contexts, "anchor bigint, doc bigint, place bigint, bytes binary")
+    more = texts.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(_compare, "doc bigint, place bigint")
+    return found.where("anchor is null").select("doc", "place").unionByName(table(more, "suffix-windows"))
+
+
+def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    A byte goes if a WINDOW-byte string over it also starts earlier, in a document of a smaller id or before in the same
+    one; strings never cross documents and are judged on the input. A null text is empty; a null id comes after all
+    others. An id names one document: rows that repeat it with its text are treated alike, and none is before the other.
+    Texts shorter than WINDOW bytes stay whole. An empty table gives an empty result.
+    """
+    src = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
+    gone = repeated_runs(src).groupBy("doc").agg(F.collect_list("place").alias("places"))
+    packed = src.mapInArrow(_pack, "doc bigint, packed binary")
+    out = packed.join(gone, "doc", "left").select("doc", "packed", "places").mapInArrow(_cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
