@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, attach, free
+from .common import SPACE, attach, free, table
 
 #: A line in more than this share of a host's pages, and in at least so many pages, is boilerplate.
 RATIO, PAGES = 0.02, 5
@@ -54,7 +54,9 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     common = attach(counts, hosts, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__n")).select("__h", "k1", "k2")
     # How many there are is bounded by the pages: at most 1 / ratio lines a page could each be in so many of them.
     per_host = common.groupBy("__h").agg(F.collect_set(F.struct("k1", "k2")).alias("__common"))
-    out = attach(attach(src, hosts, ["__h"]), per_host, ["__h"])
+    # One row a host, written first: its size is known then, and only a small one is broadcast; pages stay where they are.
+    sites = table(attach(hosts, per_host, ["__h"]), "line-sites")
+    out = attach(src, sites, ["__h"])
     bad = F.coalesce("__common", F.array().cast("array<struct<k1:bigint,k2:bigint>>"))
     kept = F.filter(lines, lambda s: (trimmed(s) == "") | ~F.array_contains(bad, F.struct(F.xxhash64(trimmed(s)).alias("k1"), F.xxhash64(trimmed(s), F.lit(7)).alias("k2"))))
     n = F.coalesce(F.size(F.filter(lines, lambda s: trimmed(s) != "")), F.lit(0)).cast("bigint")
