@@ -470,3 +470,32 @@ def ring_placement(spark, d):
 def start_barrier(spark, d):
     s = v.singles(spark, d).where("id < 100").withColumn("ms", F.expr("t div 1000"))
     return control.start_barrier(s, "node_id", "ms", 2)
+
+
+@query(f"WITH s AS ({v.SINGLES}) SELECT {PAIR}, b.t - a.t AS dt FROM s a JOIN s b ON b.t BETWEEN a.t AND a.t + {W} AND (b.t > a.t OR b.id > a.id) AND a.channel <> b.channel AND a.energy >= 100 AND b.energy >= 100")
+def stream_prompt_pairs(spark, d):
+    """The stream-stream join over two node streams, drained; the same pairs as the batch join of on-time data."""
+    from ..storage import shared_path
+    from ..streaming import coincidence as live
+
+    path, out = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
+    s = v.singles(spark, d).where("energy >= 100")
+    s.repartition("node_id").write.partitionBy("node_id").parquet(path)
+    schema = "id bigint, channel int, crystal int, t bigint, energy double"
+    streams = [live.node_stream(spark, f"{path}/node_id={n}", schema, 5_000_000) for n in (0, 1)]
+    live.run_available(live.stream_pairs(streams, W), out, shared_path(spark, "stream-checkpoint"))
+    return spark.read.schema("id1 bigint, channel1 int, crystal1 int, t1 bigint, id2 bigint, channel2 int, crystal2 int, t2 bigint, dt bigint").parquet(out)
+
+
+@query()
+def stream_watermark_batches(spark, d):
+    """Pairs of watermark batches, each paired by itself, with the batch they left in."""
+    from ..storage import shared_path
+    from ..streaming import coincidence as live
+
+    path, out = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
+    v.singles(spark, d).where("energy >= 100").repartition(4, "id").write.parquet(path)
+    stream = spark.readStream.schema("id bigint, node_id int, channel int, crystal int, t bigint, energy double").option("maxFilesPerTrigger", 2).parquet(path)
+    handler = live.WatermarkBatches(spark, out, 2, MARGIN, live.prompt_and_delay(W, D, CHANNELS))
+    live.run_batches(stream, handler, shared_path(spark, "stream-checkpoint"))
+    return spark.read.parquet(out)
