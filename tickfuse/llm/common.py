@@ -3,46 +3,19 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..storage import shared_path, table  # noqa: F401  what the operators take from here
+
 #: White space of the contracts, as a character class body.
 SPACE = r"\x20\x09-\x0D"
 #: One run of anything else is a word.
 WORD = rf"[^{SPACE}]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is set only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tickfuse.shared.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tickfuse-")
-        spark.conf.set("tickfuse.shared.dir", named)
-    return named
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, removed when the driver's JVM ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/tickfuse/{name}-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a compressed table in the shared folder and reads it back: lineage ends there, so a lost
-    executor costs no earlier stage."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
