@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """path, name, bytes of the files of a folder; contents aren't read."""
+    """path, name, bytes of the files of a folder; contents aren't read. Empty files aren't listed."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", F.col("length").alias("bytes"))
     return found.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
