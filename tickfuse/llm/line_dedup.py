@@ -44,7 +44,7 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     are treated alike. An empty table stays empty.
     """
     n_lines, n_dropped, total = (free(pages, n) for n in ("n_lines", "n_dropped", "host_pages"))
-    src = pages.select("*", F.col(host).alias("__h"))
+    src = pages.select(F.struct(*pages.columns).alias("__row"), F.col(host).alias("__h"), F.col(text).alias("__text"))
     lines = F.split(F.col(text), "\n")
     each = pages.select(F.col(host).alias("__h"), F.col(page_id).alias("__p"), F.xxhash64(F.col(text)).alias("__x"), F.explode(F.array_distinct(F.transform(lines, trimmed))).alias("line")).where("line <> ''")
     each = each.select("__h", "__p", "__x", *line_key(F.col("line")))
@@ -58,13 +58,13 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     sites = table(attach(hosts, per_host, ["__h"]), "line-sites")
     out = attach(src, sites, ["__h"])
     bad = F.coalesce("__common", F.array().cast("array<struct<k1:bigint,k2:bigint>>"))
+    lines = F.split("__text", "\n")
     kept = F.filter(lines, lambda s: (trimmed(s) == "") | ~F.array_contains(bad, F.struct(F.xxhash64(trimmed(s)).alias("k1"), F.xxhash64(trimmed(s), F.lit(7)).alias("k2"))))
-    n = F.coalesce(F.size(F.filter(lines, lambda s: trimmed(s) != "")), F.lit(0)).cast("bigint")
     out = out.withColumn("__kept", kept)
-    left = F.coalesce(F.size(F.filter("__kept", lambda s: trimmed(s) != "")), F.lit(0)).cast("bigint")
-    new = F.when(F.col(text).isNotNull(), F.array_join("__kept", "\n"))
-    out = out.withColumns({n_lines: F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n), n_dropped: F.when(F.col(text).isNull(), F.lit(0).cast("bigint")).otherwise(n - left), total: F.col("__n"), text: new})
-    return out.drop("__h", "__n", "__common", "__kept")
+    real = lambda c: F.when(F.col("__text").isNull(), F.lit(0)).otherwise(F.size(F.filter(c, lambda s: trimmed(s) != ""))).cast("bigint")
+    new = F.when(F.col("__text").isNotNull(), F.array_join("__kept", "\n"))
+    cols = [new.alias(c) if c == text else F.col("__row").getField(c).alias(c) for c in pages.columns]
+    return out.select(*cols, real(lines).alias(n_lines), (real(lines) - real(F.col("__kept"))).alias(n_dropped), F.col("__n").alias(total))
 
 
 def clean_documents(docs: DataFrame, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
