@@ -9,19 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, attach, free, table
+from .common import attach, free, table
 
 #: A line in more than this share of a host's pages, and in at least so many pages, is boilerplate.
 RATIO, PAGES = 0.02, 5
 
 
 def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.trim(line, F.lit(" \t\n\v\f\r"))
 
 
 def html_lines(html: Column) -> Column:
     """The text lines of a page: scripts, styles and comments go, tags become line ends."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->", "\n")
+    bare = F.regexp_replace(html, r"<(?:(?i:script|style)\b[^>]*>(?s:.*?)</(?i:script|style)>|!--(?s:.*?)-->)", "\n")
     return F.regexp_replace(bare, r"<[^>]*>", "\n")
 
 
@@ -58,13 +58,14 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     sites = table(attach(hosts, per_host, ["__h"]), "line-sites")
     out = attach(src, sites, ["__h"])
     bad = F.coalesce("__common", F.array().cast("array<struct<k1:bigint,k2:bigint>>"))
-    lines = F.split("__text", "\n")
-    kept = F.filter(lines, lambda s: (trimmed(s) == "") | ~F.array_contains(bad, F.struct(F.xxhash64(trimmed(s)).alias("k1"), F.xxhash64(trimmed(s), F.lit(7)).alias("k2"))))
-    out = out.withColumn("__kept", kept)
-    real = lambda c: F.when(F.col("__text").isNull(), F.lit(0)).otherwise(F.size(F.filter(c, lambda s: trimmed(s) != ""))).cast("bigint")
-    new = F.when(F.col("__text").isNotNull(), F.array_join("__kept", "\n"))
+    # Each step is a projection of its own, so that a line is trimmed and hashed once.
+    out = out.withColumn("__lines", F.transform(F.split("__text", "\n"), lambda s: F.struct(s.alias("raw"), trimmed(s).alias("bare"))))
+    out = out.withColumn("__kept", F.filter("__lines", lambda s: (s["bare"] == "") | ~F.array_contains(bad, F.struct(*line_key(s["bare"])))))
+    real = lambda c: F.when(F.col("__text").isNull(), F.lit(0)).otherwise(F.size(F.filter(c, lambda s: s["bare"] != ""))).cast("bigint")
+    out = out.withColumns({"__n_lines": real("__lines"), "__n_kept": real("__kept")})
+    new = F.when(F.col("__text").isNotNull(), F.array_join(F.transform("__kept", lambda s: s["raw"]), "\n"))
     cols = [new.alias(c) if c == text else F.col("__row").getField(c).alias(c) for c in pages.columns]
-    return out.select(*cols, real(lines).alias(n_lines), (real(lines) - real(F.col("__kept"))).alias(n_dropped), F.col("__n").alias(total))
+    return out.select(*cols, F.col("__n_lines").alias(n_lines), (F.col("__n_lines") - F.col("__n_kept")).alias(n_dropped), F.col("__n").alias(total))
 
 
 def clean_documents(docs: DataFrame, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
