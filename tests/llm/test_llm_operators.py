@@ -286,6 +286,16 @@ def test_repeated_bytes(spark, docs, empty, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("runs_held", [1, 3, 40, 41])
+def test_hot_bucket_in_parts(spark, runs_held):
+    """A passage in 40 documents with other text beside it each time: one bucket of 40 names."""
+    rng, passage = random.Random(9), words(random.Random(2), 60)
+    rows = [(i, words(rng, 20, 5000) + passage + words(rng, 20, 5000)) for i in range(40)]
+    rows += [(40, passage[:150] + "!" + passage[20:]), (41, passage + passage), rows[7]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(map(tuple, suffix_dedup.repeated_bytes(df, runs_held=runs_held).collect())) == sorted(cut_plainly(rows))
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(i, words(rng, 400, 30) + ("z" * 300) + words(random.Random(1), 100)) for i in range(6)]

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .anchors import WINDOW, runs
 from .common import table
@@ -25,8 +26,8 @@ from .words import chunks, mix, prefix, spans
 
 #: A run's place as one number: first window * PACK + windows (a run has fewer than PACK, as its windows share an anchor).
 PACK = 128
-#: Windows whose hashes are held at once while buckets are resolved.
-HELD = 1 << 20
+#: Runs of a bucket that one task compares at once; a bucket of more is cut into parts, whose first suffixes then meet by name.
+RUNS = 4096
 LAST = (1 << 63) - 1
 
 
@@ -60,18 +61,20 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa
         yield give(held)
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by (key, span, doc, place) to (doc, place, anchor): repeats of an earlier run with a null anchor; and,
-    where a bucket holds several names, the first run of each with its anchor. Only the last run is carried on."""
+def _resolve(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.RecordBatch]:
+    """Runs sorted by (key, span, doc, place) to (doc, place, anchor, part): repeats of an earlier run with a null anchor;
+    and, where a bucket holds several names, the first run of each with its anchor, numbered into parts of `runs_held`.
+    Only the last run is carried on."""
     last: tuple | None = None  # key, span, doc, place of the first run of the name at hand
     alone = False  # that run is all there is of its bucket so far, and hasn't been given
+    numbered, count = 0, 0  # the bucket of the last run given with its anchor, and how many it has given
     for b in batches:
         key, span, doc, place = (c.to_numpy(zero_copy_only=False) for c in b.columns)
         if not len(key):
             continue
         done = place < 0
         out_doc, out_place, out_anchor = [doc[done]], [-place[done] - 1], [np.zeros(int(done.sum()), np.int64)]
-        real = [np.zeros(int(done.sum()), bool)]
+        real, part = [np.zeros(int(done.sum()), bool)], [np.zeros(int(done.sum()), np.int64)]
         key, span, doc, place = (x[~done] for x in (key, span, doc, place))
         if len(key):
             if last is not None:
@@ -93,10 +96,16 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out_place += [place[dup], place[pick]]
             out_anchor += [np.zeros(int(dup.sum()), np.int64), key[pick]]
             real += [np.zeros(int(dup.sum()), bool), np.ones(len(pick), bool)]
+            begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(pick)), bool), key[pick[1:]] != key[pick[:-1]])))
+            number = np.arange(len(pick)) - np.repeat(begin, np.diff(np.append(begin, len(pick))))
+            number += np.where(key[pick] == numbered, count, 0)
+            if len(pick):
+                numbered, count = key[pick[-1]], int(number[-1]) + 1
+            part += [np.zeros(int(dup.sum()), np.int64), number // runs_held]
             z = heads[-1]
             alone = bool(given[-1] and not unclear[-1])
             last = (key[z], span[z], doc[z], place[z])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_place)), pa.array(np.concatenate(out_anchor), mask=~np.concatenate(real))], ["doc", "place", "anchor"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_place)), pa.array(np.concatenate(out_anchor), mask=~np.concatenate(real)), pa.array(np.concatenate(part))], ["doc", "place", "anchor", "part"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,57 +122,71 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc, packed, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             text = press.decompress(packed) if packed is not None else b""
-            rows += [(r["anchor"], doc, r["place"], text[r["place"] // PACK : r["place"] // PACK + r["place"] % PACK + WINDOW - 1]) for r in own]
+            rows += [(r["anchor"], r["part"], doc, r["place"], text[r["place"] // PACK : r["place"] // PACK + r["place"] % PACK + WINDOW - 1]) for r in own]
             if len(rows) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "doc", "place", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "part", "doc", "place", "bytes"])
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "doc", "place", "bytes"])
-
-
-def _compare(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
-    """Runs with their bytes, sorted by (anchor, doc, place), to the suffixes that start earlier too, as runs (doc, place).
-    A bucket may go on over batches: the names of its suffixes are carried on, 8 bytes each, with their first place."""
-    old = (None, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))  # anchor, names, doc, start
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "part", "doc", "place", "bytes"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.RecordBatch]:
+    """Runs with their bytes, sorted by (anchor, part, doc, place), to the suffixes that start earlier too in their part, as
+    runs (doc, place) of null name; and, of buckets that have several parts, the first suffix of each name with that name.
+    What is held is whole parts, of at most `runs_held` runs each."""
+
+    def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        all_ = pa.Table.from_batches(held).combine_chunks()
+        anchor, part, doc, place = (all_.column(i).to_numpy() for i in range(4))
+        text = all_.column(4).to_pylist()
+        new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])))
+        size = np.diff(np.append(np.flatnonzero(new), len(new)))
+        several = np.repeat((part[new] > 0) | (size >= runs_held), size)  # a full first part may have a second
+        n = place % PACK
+        whole = np.array([len(t) for t in text]) >= n + WINDOW - 1
+        anchor, part, doc, place, n, several = (x[whole] for x in (anchor, part, doc, place, n, several))
+        text = [t for t, ok in zip(text, whole.tolist(), strict=True) if ok]
+        if not len(n):
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, ["doc", "place", "name"])
+        buf = np.frombuffer(b"".join(text), np.uint8)
+        begin = np.concatenate(([0], np.cumsum([len(t) for t in text])))[:-1].astype(np.int64)
+        run = np.repeat(np.arange(len(n)), n)
+        inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        s = begin[run] + inner
+        name = mix(spans(prefix(buf), s, s + WINDOW) ^ mix(anchor.view(np.uint64))[run])
+        wdoc, wpart, start = doc[run], part[run], (place // PACK)[run] + inner
+        order = np.lexsort((start, wdoc, wpart, name))
+        head = np.ones(len(order), bool)
+        head[1:] = (name[order][1:] != name[order][:-1]) | (wpart[order][1:] != wpart[order][:-1])
+        first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+        d, lead = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        d[order] = (wdoc[order] != wdoc[order][first]) | (start[order] != start[order][first])
+        lead[order] = head
+        lead &= several[run]
+        edge = np.ones(len(d), bool)
+        edge[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
+        starts = np.flatnonzero(edge & d)
+        ends = np.flatnonzero(np.append(edge[1:], True) & d) + 1
+        known = np.concatenate((np.zeros(len(starts), bool), np.ones(int(lead.sum()), bool)))
+        names = np.concatenate((np.zeros(len(starts), np.int64), name[lead].view(np.int64)))
+        places = np.concatenate((start[starts] * PACK + (ends - starts), start[lead] * PACK + 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((wdoc[starts], wdoc[lead]))), pa.array(places), pa.array(names, mask=~known)], ["doc", "place", "name"])
+
+    held: list[pa.RecordBatch] = []
     for b in batches:
-        for at in range(0, b.num_rows, most // PACK):
-            part = b.slice(at, most // PACK)
-            anchor, doc, place = (part.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            text = part.column(3).to_pylist()
-            n = place % PACK
-            whole = np.array([len(t) for t in text]) >= n + WINDOW - 1
-            anchor, doc, place, n = anchor[whole], doc[whole], place[whole], n[whole]
-            text = [t for t, ok in zip(text, whole.tolist(), strict=True) if ok]
-            if not len(n):
-                continue
-            buf = np.frombuffer(b"".join(text), np.uint8)
-            begin = np.concatenate(([0], np.cumsum([len(t) for t in text])[:-1])).astype(np.int64)
-            run = np.repeat(np.arange(len(n)), n)
-            inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
-            s = begin[run] + inner
-            name = mix(spans(prefix(buf), s, s + WINDOW) ^ mix(anchor.view(np.uint64))[run])
-            wdoc, wstart = doc[run], (place // PACK)[run] + inner
-            if old[0] == anchor[0]:
-                name_, doc_, start_ = np.concatenate((old[1], name)), np.concatenate((old[2], wdoc)), np.concatenate((old[3], wstart))
-            else:
-                name_, doc_, start_ = name, wdoc, wstart
-            kept = len(name_) - len(name)
-            order = np.lexsort((start_, doc_, name_))
-            new = np.concatenate(([True], name_[order][1:] != name_[order][:-1]))
-            first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-            dup_sorted = (doc_[order] != doc_[order][first]) | (start_[order] != start_[order][first])
-            dup = np.zeros(len(order), bool)
-            dup[order] = dup_sorted
-            tail = anchor[-1] == (np.concatenate((np.full(kept, old[0] if old[0] is not None else 0), anchor[run])) if kept else anchor[run])
-            one = np.zeros(len(order), bool)
-            one[order] = new
-            old = (anchor[-1], name_[one & tail], doc_[one & tail], start_[one & tail])
-            d = dup[kept:]
-            edge = np.ones(len(d), bool)
-            edge[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
-            starts = np.flatnonzero(edge & d)
-            ends = np.flatnonzero(np.append(edge[1:], True) & d) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(wdoc[starts]), pa.array(wstart[starts] * PACK + (ends - starts))], ["doc", "place"])
+        if not b.num_rows:
+            continue
+        anchor, part = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        cut = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))))
+        if held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (anchor[0], part[0]):
+            yield close(held)
+            held = []
+        if cut[-1]:  # all but the last part of the batch is whole
+            yield close([*held, b.slice(0, cut[-1])])
+            held = []
+        held.append(b.slice(cut[-1]))
+    if held:
+        yield close(held)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,18 +210,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, runs_held: int = RUNS) -> DataFrame:
     """docs: doc (bigint), text. Returns (doc, place): runs of windows that also start earlier, as start * PACK + windows."""
     dealt = docs.mapInArrow(_runs, "key bigint, span bigint, doc bigint, place bigint").repartition("key").sortWithinPartitions("key", "span", "doc", "place")
-    found = table(dealt.mapInArrow(_resolve, "doc bigint, place bigint, anchor bigint"), "suffix-runs")
-    unclear = found.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("place", "anchor")).alias("runs"))
+    found = table(dealt.mapInArrow(lambda b: _resolve(b, runs_held), "doc bigint, place bigint, anchor bigint, part bigint"), "suffix-runs")
+    unclear = found.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("place", "anchor", "part")).alias("runs"))
     packed = docs.mapInArrow(_pack, "doc bigint, packed binary")
-    texts = packed.join(unclear, "doc").select("doc", "packed", "runs").mapInArrow(_contexts, "anchor bigint, doc bigint, place bigint, bytes binary")
-    more = texts.repartition("anchor").sortWithinPartitions("anchor", "doc", "place").mapInArrow(_compare, "doc bigint, place bigint")
-    return found.where("anchor is null").select("doc", "place").unionByName(table(more, "suffix-windows"))
+    texts = packed.join(unclear, "doc").select("doc", "packed", "runs").mapInArrow(_contexts, "anchor bigint, part bigint, doc bigint, place bigint, bytes binary")
+    parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "place")
+    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), "doc bigint, place bigint, name bigint"), "suffix-windows")
+    # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
+    least = F.min(F.struct("doc", "place")).over(Window.partitionBy("name"))
+    across = more.where("name is not null").withColumn("least", least).where(F.struct("doc", "place") != F.col("least"))
+    settled = found.where("anchor is null").select("doc", "place").unionByName(more.where("name is null").select("doc", "place"))
+    return settled.unionByName(across.select("doc", "place"))
 
 
-def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", runs_held: int = RUNS) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if a WINDOW-byte string over it also starts earlier, in a document of a smaller id or before in the same
@@ -207,7 +235,7 @@ def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Texts shorter than WINDOW bytes stay whole. An empty table gives an empty result.
     """
     src = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
-    gone = repeated_runs(src).groupBy("doc").agg(F.collect_list("place").alias("places"))
+    gone = repeated_runs(src, runs_held).groupBy("doc").agg(F.collect_list("place").alias("places"))
     packed = src.mapInArrow(_pack, "doc bigint, packed binary")
     out = packed.join(gone, "doc", "left").select("doc", "packed", "places").mapInArrow(_cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
