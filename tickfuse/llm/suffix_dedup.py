@@ -18,16 +18,17 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .anchors import WINDOW, runs
-from .common import table
+from .common import attach, table
 from .words import chunks, mix, prefix, spans
 
 #: A run's place as one number: first window * PACK + windows (a run has fewer than PACK, as its windows share an anchor).
 PACK = 128
 #: Runs of a bucket that one task compares at once; a bucket of more is cut into parts, whose first suffixes then meet by name.
-RUNS = 4096
+RUNS = 512
+#: Rows of runs that are looked at together.
+ROWS = 2048
 LAST = (1 << 63) - 1
 
 
@@ -173,9 +174,7 @@ def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.R
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate((wdoc[starts], wdoc[lead]))), pa.array(places), pa.array(names, mask=~known)], ["doc", "place", "name"])
 
     held: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
+    for b in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
         anchor, part = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         cut = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))))
         if held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (anchor[0], part[0]):
@@ -220,8 +219,9 @@ def repeated_runs(docs: DataFrame, runs_held: int = RUNS) -> DataFrame:
     parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "place")
     more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), "doc bigint, place bigint, name bigint"), "suffix-windows")
     # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
-    least = F.min(F.struct("doc", "place")).over(Window.partitionBy("name"))
-    across = more.where("name is not null").withColumn("least", least).where(F.struct("doc", "place") != F.col("least"))
+    named = more.where("name is not null")
+    least = named.groupBy("name").agg(F.min(F.struct("doc", "place")).alias("least"))
+    across = attach(named, least, ["name"], "inner").where(F.struct("doc", "place") != F.col("least"))
     settled = found.where("anchor is null").select("doc", "place").unionByName(more.where("name is null").select("doc", "place"))
     return settled.unionByName(across.select("doc", "place"))
 
