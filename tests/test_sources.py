@@ -1,10 +1,11 @@
+import random
 import pytest
 from pyspark.sql import functions as F
 
 from tickfuse.plans import offline, sinks
 from tickfuse.schemas import AlignerConfig, CoincidenceProtocol, R2SConfig, StorageConfig
 from tickfuse.sources import generators, listing, manifests, raw_packets, singles, vendor
-from tickfuse.streaming import coincidence
+from tickfuse.streaming import clock_sync, coincidence
 
 
 def test_raw_packets_round_trip(spark, tmp_path):
@@ -94,3 +95,26 @@ def test_stream_equals_batch(spark, tmp_path):
     want = prompt_pairs(g, 300)
     assert sorted((r["id1"], r["id2"]) for r in got.collect()) == sorted((r["id1"], r["id2"]) for r in want.collect())
     assert sum(p["rows"] for p in coincidence.progress(q)) > 0
+
+
+def test_streaming_offsets(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i % 2, i, i * 1_000_000, rng.randrange(-5000, 5000) - (10**9 if i % 11 == 3 else 0), float(i % 7)) for i in range(80)]
+    schema = "client bigint, seq bigint, time_ns bigint, offset_ns bigint, delay_ms double"
+    for k in range(2):  # two files, so that state is carried over
+        spark.createDataFrame(rows[40 * k : 40 * k + 40] + [(None, 1, 1, 1, 1.0), (1, 1, 1, None, 1.0)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    coincidence.run_available(clock_sync.streaming_offsets(stream, last=20), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = {(r["client"], r["seq"]): r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 80
+    for client in (0, 1):
+        kept, latency = [], 0.0
+        for n, (_, seq, time, offset, delay) in enumerate((r for r in rows if r[0] == client), 1):
+            if not kept or abs(offset - int(sum(x for x, _ in kept) / len(kept))) < 50_000_000:
+                kept = [*kept, (offset, time)][-20:]
+            latency = 0.7 * latency + 0.3 * delay
+            r = got[client, seq]
+            assert (r["avg_offset"], r["syncs"], r["confidence"]) == (int(sum(x for x, _ in kept) / len(kept)), n, min(len(kept) / 10, 1.0))
+            assert abs(r["latency_ms"] - latency) < 1e-9
+            if len(kept) >= 10:
+                assert abs(r["drift_ppm"] - (kept[-1][0] - kept[0][0]) / (kept[-1][1] - kept[0][1]) * 1e6) < 1e-6
