@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -84,6 +84,12 @@ def anchored_groups(df: DataFrame, start: str, end: str, tie: str, tolerance: in
     return folded.groupBy("group_start").agg(F.max(end).alias("group_end"), F.count(F.lit(1)).alias("members"))
 
 
+def mean_towards_zero(x: Collection[int]) -> int:
+    """Integer mean, exact however large the sum."""
+    s = sum(x)
+    return abs(s) // len(x) * (1 if s >= 0 else -1)
+
+
 def gated_mean(df: DataFrame, keys: list[str], order: list[str], offset: str, last: int = 100, gate: int | None = 50_000_000) -> DataFrame:
     """avg_offset: mean of the last accepted offsets; one further than `gate` from that mean is not accepted."""
 
@@ -91,21 +97,20 @@ def gated_mean(df: DataFrame, keys: list[str], order: list[str], offset: str, la
         kept: deque = deque(maxlen=last)
 
         def step(x: int) -> int:
-            mean = sum(kept) / len(kept) if kept else None
-            if mean is None or gate is None or abs(x - mean) < gate:
+            if not kept or gate is None or abs(int(x) - mean_towards_zero(kept)) < gate:
                 kept.append(int(x))
-            return int(sum(kept) / len(kept))
+            return mean_towards_zero(kept)
 
         return step
 
     return streaming_fold(df, keys, order, [offset], make, "avg_offset", "bigint")
 
 
-def ema(df: DataFrame, keys: list[str], order: list[str], value: str, old: float = 0.7, new: float = 0.3) -> DataFrame:
-    """ema: old * previous + new * value; the first value starts it."""
+def ema(df: DataFrame, keys: list[str], order: list[str], value: str, old: float = 0.7, new: float = 0.3, start: float | None = None) -> DataFrame:
+    """ema: old * previous + new * value; before the first value it is `start`, or where that is None, that value."""
 
     def make() -> Callable:
-        now = None
+        now = start
 
         def step(x: float) -> float:
             nonlocal now

@@ -319,12 +319,12 @@ def gated_offset(spark, d):
 
 
 @query(f"""WITH RECURSIVE s AS (SELECT client, seq, rtt_ns, row_number() OVER (PARTITION BY client ORDER BY seq) AS r FROM ({v.NTP})),
-f(client, seq, r, ema) AS (SELECT client, seq, r, rtt_ns::DOUBLE FROM s WHERE r = 1
+f(client, seq, r, ema) AS (SELECT client, seq, r, 0.3::DOUBLE * rtt_ns FROM s WHERE r = 1
 UNION ALL SELECT s.client, s.seq, s.r, 0.7 * f.ema + 0.3 * s.rtt_ns FROM f JOIN s ON s.client = f.client AND s.r = f.r + 1)
 SELECT client, seq, round(ema, 3) AS ema FROM f""")
 def latency_ema(spark, d):
     s = clock.ntp(v.sync_samples(spark, d)).select("client", "seq", "rtt_ns")
-    return folds.ema(s, ["client"], ["seq"], "rtt_ns").select("client", "seq", F.round("ema", 3).alias("ema"))
+    return folds.ema(s, ["client"], ["seq"], "rtt_ns", start=0.0).select("client", "seq", F.round("ema", 3).alias("ema"))
 
 
 @query(f"SELECT client, count(*)::BIGINT AS syncs, arg_max(offset_ns, seq) AS offset_ns, max(seq) AS last, least(count(*) / 10.0, 1.0)::DOUBLE AS confidence FROM ({v.NTP}) GROUP BY client")

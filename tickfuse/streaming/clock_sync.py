@@ -9,16 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.folds import mean_towards_zero
+
 STATE = "offsets array<bigint>, times array<bigint>, drift_ppm double, latency_ms double, syncs bigint"
 RESULT = "client bigint, seq bigint, avg_offset bigint, drift_ppm double, confidence double, latency_ms double, syncs bigint"
 
 
-def _mean(x: deque) -> int:
-    """Integer mean towards zero."""
-    s = sum(x)
-    return abs(s) // len(x) * (1 if s >= 0 else -1)
-
-
 def streaming_offsets(samples: DataFrame, last: int = 100, gate: int = 50_000_000, least: int = 10) -> DataFrame:
     """A stream of (client, seq, time_ns, offset_ns, delay_ms) to one row per sample, with the client's state after it.
 
@@ -34,13 +30,13 @@ def streaming_offsets(samples: DataFrame, last: int = 100, gate: int = 50_000_00
         drift, latency, syncs = held[2:]
         rows = []
         for s in pd.concat(list(frames)).sort_values(["seq", "time_ns", "offset_ns"]).itertuples():
-            if not offsets or abs(s.offset_ns - _mean(offsets)) < gate:
+            if not offsets or abs(s.offset_ns - mean_towards_zero(offsets)) < gate:
                 offsets.append(int(s.offset_ns))
                 times.append(int(s.time_ns))
                 if len(offsets) >= least and times[-1] > times[0]:
                     drift = (offsets[-1] - offsets[0]) / (times[-1] - times[0]) * 1e6
             latency, syncs = 0.7 * latency + 0.3 * s.delay_ms, syncs + 1
-            rows.append((key[0], s.seq, _mean(offsets), drift, min(len(offsets) / 10, 1.0), latency, syncs))
+            rows.append((key[0], s.seq, mean_towards_zero(offsets), drift, min(len(offsets) / 10, 1.0), latency, syncs))
         state.update((list(offsets), list(times), drift, latency, syncs))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")]).astype({"drift_ppm": float})
 
