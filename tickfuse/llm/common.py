@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -58,6 +61,20 @@ def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left")
     return df.join(right, on, how).drop(*[f"__{k}" for k in keys])
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which gives freed memory back to the machine when its task ends: Python workers stay alive between tasks,
+    and beside a full heap what they still hold counts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return task
+
+
 def blocks_for(total: int, each: int) -> int:
     return max(1, math.ceil(total / each))
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for
+from .common import blocks_for, lean
 
 #: Edits as a share of an item's length, characters of a piece at least, characters of an item at least.
 RATE, PIECE, ITEM = 0.1, 12, 24
@@ -146,7 +146,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
     out = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.array().cast(HITS).alias("hits"))
     parts = list(item_blocks(benchmark, item_id, item_text))
     for i, items in enumerate(parts):
-        out = out.mapInArrow(_pass(items, i + 1 < len(parts)), f"doc_id bigint, text string, hits {HITS}")
+        out = out.mapInArrow(lean(_pass(items, i + 1 < len(parts))), f"doc_id bigint, text string, hits {HITS}")
     ids = F.transform("hits", lambda h: h["item_id"])
     return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("bigint").alias("n_items"), ids.alias("item_ids"), "hits")
 
@@ -161,5 +161,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
                 found = [bool(matcher.find(t.as_py())) for t in b.column(b.schema.get_field_index(text))]
                 yield b.filter(pc.invert(pa.array(found, pa.bool_())))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, free, table
+from .common import attach, free, lean, table
 from .components import components
 from .words import _ODD, chunks, mix, powers, prefix, spans, words
 
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     bands = bands_for(similarity, recall, rows)
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = table(src.mapInArrow(_sign(bands, rows), "doc_id bigint, h1 bigint, h2 bigint, n int, bands array<bigint>"), "near-signatures")
+    signed = table(src.mapInArrow(lean(_sign(bands, rows)), "doc_id bigint, h1 bigint, h2 bigint, n int, bands array<bigint>"), "near-signatures")
     some = signed.where("n > 0")
     reps = some.groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id"), F.min("h1")).alias("node"), F.count(F.lit(1)).alias("copies"))
     reps = table(reps, "near-representatives")
@@ -219,11 +219,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     blocks = sizes.select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = attach(cand, blocks, ["comp"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = src.where(F.length("text") > 0).join(cand.select(F.col("node").alias("doc_id"), "h1"), "doc_id")
-    sets = texts.select(F.col("doc_id").alias("node"), "h1", "text").mapInArrow(_sets, "node bigint, shingles binary")
+    sets = texts.select(F.col("doc_id").alias("node"), "h1", "text").mapInArrow(lean(_sets), "node bigint, shingles binary")
     pairs = placed.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies", "shingles", "bands")
     pairs = pairs.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node")
-    found = table(pairs.mapInArrow(_verify(similarity), "node bigint, links bigint, root bigint"), "near-links")
+    found = table(pairs.mapInArrow(lean(_verify(similarity)), "node bigint, links bigint, root bigint"), "near-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
     # Components of one block are resolved already; only roots of several blocks meet in rounds.
     wide = blocks.where("blocks > 1").select("comp")

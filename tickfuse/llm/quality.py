@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, lean
 from .words import chunks, prefix, spans, words
 
 #: Labelled documents to fit on at most; the broadcast is bounded by it: SAMPLE * DIMS floats and the projection.
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         return None
     chosen = docs.sparkSession.createDataFrame([(r["i"], r["y"]) for r in picked], "i bigint, y int")
     rows = docs.join(F.broadcast(chosen), docs[doc_id] == chosen["i"]).select(F.col(text).cast("string"), "i", "y")
-    got = rows.select(text, "y").mapInArrow(_features, "label int, buckets binary, times binary, dense binary").limit(4 * sample).collect()
+    got = rows.select(text, "y").mapInArrow(lean(_features), "label int, buckets binary, times binary, dense binary").limit(4 * sample).collect()
     got.sort(key=lambda r: (bytes(r["dense"]), bytes(r["buckets"]), r["label"]))
     docs_ = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["times"], np.int32), np.frombuffer(r["dense"], np.float32)) for r in got]
     return Model.fit(docs_, np.array([r["label"] for r in got])) if docs_ else None
@@ -159,7 +159,7 @@ def scores(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    out = rows.mapInArrow(run, "doc_id bigint, score double")
+    out = rows.mapInArrow(lean(run), "doc_id bigint, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -172,4 +172,4 @@ def accept(docs: DataFrame, model: Model | None, text: str = "text", threshold:
             column = pc.fill_null(b.column(b.schema.get_field_index(text)), "")
             yield b.filter(pa.array(sent.value.score(column) >= threshold)) if sent.value is not None else b
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once (a longer text is a chunk of its own).
-CHUNK = 2 << 20
+CHUNK = 512 << 10
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = np.random.default_rng(77).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
