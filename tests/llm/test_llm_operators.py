@@ -385,6 +385,15 @@ def test_lines(docs, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_copies_make_no_boilerplate(spark):
+    """40 copies, in upper case and other white space too, are one text; a line of 12 other texts is boilerplate."""
+    doc = "first line of it\nsecond line of it"
+    rows = [(i, doc if i % 2 else doc.upper().replace("\n", " \n\n"), "s", 1) for i in range(40)]
+    rows += [(100 + i, f"home | about\nown text {i}", "s", 1) for i in range(12)]
+    out = line_dedup.clean_documents(spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int").repartition(3))
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()) == [(i, t, len(t)) for i, t, _, _ in rows[:40]] + [(100 + i, f"own text {i}", len(f"own text {i}")) for i in range(12)]
+
+
 # 10 -----------------------------------------------------------------------------------------------------------------
 
 

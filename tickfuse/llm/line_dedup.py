@@ -1,7 +1,8 @@
 """Line deduplication by site-relative frequency, with built-in functions only.
 
 Lines are counted once a page and grouped by host; a line whose share of its host's pages is above the boilerplate
-ratio goes from every page of that host.
+ratio goes from every page of that host. Copies can count as one page, so that they don't make their own lines
+boilerplate.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, free, table
+from .common import SPACE, attach, free, table
 
 #: A line in more than this share of a host's pages, and in at least so many pages, is boilerplate.
 RATIO, PAGES = 0.02, 5
@@ -34,24 +35,36 @@ def line_key(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k1"), F.xxhash64(line, F.lit(7)).alias("k2")]
 
 
-def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
+def text_key(text: Column) -> list[Column]:
+    """128 bits for the sequence of words in lower case: what near_dup takes for a copy has the same."""
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"[{SPACE}]+", " "))
+    return [F.xxhash64(words).alias("t1"), F.xxhash64(words, F.lit(7)).alias("t2")]
+
+
+def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio: float = RATIO, least: int = PAGES, by_text: bool = False) -> DataFrame:
     """pages with text without its boilerplate lines, and three columns more (underscored where the name is taken):
     n_lines, n_dropped, host_pages.
 
     Lines are compared without white space at their ends; blank lines are never counted nor dropped. A null text stays
     null and has no line; a null host is a host of its own. host_pages counts rows, so a page that is there twice counts
-    twice. Rows are tied to their lines by a digest of id, host and text, so repeated and null ids do no harm; equal rows
-    are treated alike. An empty table stays empty.
+    twice. With by_text a line counts once a distinct text of its host, and its share is that of the host's distinct
+    texts: rows of equal words count as one, while host_pages still counts rows. Equal rows are treated alike. An empty
+    table stays empty.
     """
     n_lines, n_dropped, total = (free(pages, n) for n in ("n_lines", "n_dropped", "host_pages"))
     src = pages.select(F.struct(*pages.columns).alias("__row"), F.col(host).alias("__h"), F.col(text).alias("__text"))
     lines = F.split(F.col(text), "\n")
-    each = pages.select(F.col(host).alias("__h"), F.col(page_id).alias("__p"), F.xxhash64(F.col(text)).alias("__x"), F.explode(F.array_distinct(F.transform(lines, trimmed))).alias("line")).where("line <> ''")
-    each = each.select("__h", "__p", "__x", *line_key(F.col("line")))
+    own = text_key(F.col(text)) if by_text else []
+    each = pages.select(F.col(host).alias("__h"), *own, F.explode(F.array_distinct(F.transform(lines, trimmed))).alias("line")).where("line <> ''")
+    each = each.select("__h", *(["t1", "t2"] if by_text else []), *line_key(F.col("line")))
     hosts = pages.groupBy(F.col(host).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
+    base = hosts
+    if by_text:
+        each = each.distinct()
+        base = pages.select(F.col(host).alias("__h"), *own).distinct().groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
     # Counts meet in map-side sums, hot lines and hot hosts too.
     counts = each.groupBy("__h", "k1", "k2").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") >= least)
-    common = attach(counts, hosts, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__n")).select("__h", "k1", "k2")
+    common = attach(counts, base, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__n")).select("__h", "k1", "k2")
     # How many there are is bounded by the pages: at most 1 / ratio lines a page could each be in so many of them.
     per_host = common.groupBy("__h").agg(F.collect_set(F.struct("k1", "k2")).alias("__common"))
     # One row a host, written first: its size is known then, and only a small one is broadcast; pages stay where they are.
@@ -69,9 +82,9 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
 
 
 def clean_documents(docs: DataFrame, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
-    """documents with source as host: the same columns, text and n_chars after the removal."""
+    """documents with source as host: the same columns, text and n_chars after the removal. Lines count by distinct text."""
     cols = docs.columns
-    out = drop_boilerplate(docs, "doc_id", "source", "text", ratio, least)
+    out = drop_boilerplate(docs, "doc_id", "source", "text", ratio, least, by_text=True)
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(cols)
