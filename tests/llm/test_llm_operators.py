@@ -105,6 +105,31 @@ def test_pigeonhole_misses_nothing():
         assert [h["edits"] for h in m.find(text) if h["item_id"] == i] == ([d] if d <= k else [])
 
 
+@pytest.mark.parametrize("length", [24, 31, 60, 100, 345])
+def test_budget_is_the_rate(length):
+    """Against brute force, with the budget from RATE and copies at and around it."""
+    rng = random.Random(length)
+    item = decontamination.normalise(words(rng, 120))[:length].strip().ljust(length, "x")
+    m, k = decontamination.Matcher([(1, item)]), int(decontamination.RATE * length)
+    inside = 0
+    for n in [*range(k + 3), *[k] * 20, *[k + 1] * 10]:
+        t = list(item)
+        for at in sorted(rng.sample(range(len(t)), n), reverse=True):
+            t[at : at + 1] = rng.choice(["", "z", "yz"])
+        text = words(rng, 8) + " " + "".join(t) + " " + words(rng, 8)
+        d = edit_in(item, decontamination.normalise(text))
+        assert [h["edits"] for h in m.find(text)] == ([d] if d <= k else [])
+        inside += length // 12 - 1 < d <= k
+    assert inside
+
+
+def test_short_items_are_whole_words():
+    m = decontamination.Matcher([(1, "Two plus two?"), (2, "cat"), (3, "!?")])
+    found = lambda t: [h["item_id"] for h in m.find(t)]
+    assert found("so two, plus TWO is") == [1] and found("two plus twos") == [] and found("cat") == [2]
+    assert found("concat cats") == [] and found("concat, a cat.") == [2] and found("two plus tvo !?") == []
+
+
 def test_decontamination_cases(spark, docs, empty, monkeypatch):
     items = spark.createDataFrame([(7, corpus()[0][1]), (8, "tiny"), (None, corpus()[1][1]), (9, None)], "item_id bigint, text string")
     got = decontamination.contamination(docs, items)

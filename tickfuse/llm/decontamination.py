@@ -1,8 +1,9 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item with an error budget of k edits is cut into k + 1 pieces; a copy within the budget has at least one piece
-unchanged. Pieces are found by one automaton over each text, and the place around a hit is verified by Myers'
-bit-parallel edit distance.
+unchanged. Pieces are found by one automaton over each text. The pieces are the leaves of a binary tree: a stretch of n
+pieces with fewer than n edits has a half of which the same is true, so a hit counts only if it holds from its leaf up to
+the root, and most chance hits end beside the leaf. What is left is verified by Myers' bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks_for, lean
 
-#: Edits as a share of an item's length, characters of a piece at least, characters of an item at least.
-RATE, PIECE, ITEM = 0.1, 12, 24
+#: Edits as a share of an item's length; items of fewer characters are matched exactly, as whole words.
+RATE, ITEM = 0.1, 24
 #: Bytes of items in one automaton; more items are matched block by block.
 BLOCK_BYTES = 4 << 20
 HITS = "array<struct<item_id:bigint,edits:int,stop:int>>"
@@ -31,13 +32,54 @@ def normalise(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
-def pieces(item: str, rate: float = RATE, least: int = PIECE) -> tuple[int, list[tuple[int, str]]]:
+def pieces(item: str, rate: float = RATE) -> tuple[int, list[tuple[int, str]]]:
     """The error budget k, and k + 1 pieces with their offsets."""
-    k = max(0, min(int(rate * len(item)), len(item) // least - 1))
+    k = int(rate * len(item))
     cuts = [i * len(item) // (k + 1) for i in range(k + 2)]
     return k, [(a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def masks_of(item: str) -> dict[str, int]:
+    masks: dict[str, int] = {}
+    for i, c in enumerate(item):
+        masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+#: A stretch of pieces: offset, characters, edits it may have, masks, and what of it is probed: (from, to, text).
+Node = tuple[int, int, int, dict[str, int], list[tuple[int, int, str]]]
+
+
+def climbs(item: str, own: list[tuple[int, str]]) -> list[list[Node]]:
+    """For each piece the stretches around it, from the smallest to the last before the whole item.
+
+    A stretch of n pieces may have n - 1 edits. If the rest of the smallest one beside the leaf is cut into n parts, one of
+    them is unchanged, at most n - 1 characters off its place; these parts are the probes.
+    """
+    ends = [a for a, _ in own] + [len(item)]
+    out: list[list[Node]] = [[] for _ in own]
+
+    def split(i: int, j: int) -> None:
+        if j - i > 1:
+            mid = (i + j) // 2
+            split(i, mid)
+            split(mid, j)
+            a, n = ends[i], j - i
+            masks = masks_of(item[a : ends[j]])
+            for leaf in range(i, j):
+                probes = []
+                if not out[leaf]:
+                    sides = [(a, ends[leaf]), (ends[leaf + 1], ends[j])]
+                    # n parts over both sides at least: as many for each side that there is.
+                    for x, y in sides:
+                        cuts = [x + q * (y - x) // n for q in range(n + 1)]
+                        probes += [(p, q, item[p:q]) for p, q in zip(cuts, cuts[1:], strict=False)] if y > x else []
+                out[leaf].append((a, ends[j] - a, n - 1, masks, probes))
+
+    split(0, len(own))
+    return [c[:-1] for c in out]
+
+
 def myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     """Least edit distance of a pattern of m characters to any substring of text, and where the first such one ends."""
     full, top = (1 << m) - 1, 1 << (m - 1)
@@ -66,25 +108,36 @@ def myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
 class Matcher:
     """Finds items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE, least: int = PIECE, shortest: int = ITEM):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE, shortest: int = ITEM):
         self.items, places = [], {}
         for item_id, text in items:
             norm = normalise(text or "")
-            if len(norm) < shortest:
+            if not norm:
                 continue
-            k, own = pieces(norm, rate, least)
-            masks: dict[str, int] = {}
-            for i, c in enumerate(norm):
-                masks[c] = masks.get(c, 0) | 1 << i
-            for offset, piece in own:
-                places.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((item_id, norm, k, masks))
+            k, own = pieces(norm, rate) if len(norm) >= shortest else (0, [(0, norm)])
+            for (offset, piece), climb in zip(own, climbs(norm, own), strict=True):
+                places.setdefault(piece, []).append((len(self.items), offset, climb))
+            self.items.append((item_id, norm, k, masks_of(norm), len(norm) < shortest))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
         if places:
             self.automaton.make_automaton()
 
+    @staticmethod
+    def holds(text: str, at: int, climb: list[Node]) -> bool:
+        """Whether each stretch around a hit may be there; at is where the item would start."""
+        for a, size, edits, masks, probes in climb:
+            if probes:
+                for p, q, part in probes:
+                    if text.find(part, max(0, at + p - edits), max(0, at + q + edits)) >= 0:
+                        break
+                else:
+                    return False
+            if myers(masks, size, text[max(0, at + a - edits) : max(0, at + a + size + edits)])[0] > edits:
+                return False
+        return True
+
     def find(self, text: str | None) -> list[dict]:
         """Items within their budget in text: id, edits, and where the best copy ends in the normalised text."""
         if not text or not self.items:
@@ -92,21 +145,33 @@ class Matcher:
         norm = normalise(text)
         windows: dict[int, list[list[int]]] = {}
         for end, (size, where) in self.automaton.iter(norm):
-            for i, offset in where:
-                _, item, k, _ = self.items[i]
-                a, b = max(0, end + 1 - size - offset - k), end + 1 - size - offset + len(item) + k
-                own = windows.setdefault(i, [])
-                if own and a <= own[-1][1]:  # hits come by place, so windows of an item join up
+            for i, offset, climb in where:
+                _, item, k, _, whole = self.items[i]
+                at = end + 1 - size - offset
+                if whole and (norm[max(0, at - 1) : at].strip() or norm[end + 1 : end + 2].strip()):
+                    continue
+                a, b = max(0, at - k), at + len(item) + k
+                own = windows.get(i)
+                if own and own[-1][0] <= a and b <= own[-1][1]:
+                    continue
+                if climb and not self.holds(norm, at, climb):
+                    continue
+                if own is None:
+                    windows[i] = [[a, b]]
+                elif a <= own[-1][1]:  # hits come by place, so windows of an item join up
                     own[-1][0], own[-1][1] = min(a, own[-1][0]), max(b, own[-1][1])
                 else:
                     own.append([a, b])
         found = []
         for i, own in windows.items():
-            item_id, item, k, masks = self.items[i]
+            item_id, item, k, masks, whole = self.items[i]
             best, at = k + 1, 0
             for a, b in own:
-                exact = norm.find(item, a, b)
-                edits, stop = (0, exact + len(item) - a) if exact >= 0 else myers(masks, len(item), norm[a:b])
+                exact = -1 if whole else norm.find(item, a, b)
+                if whole:
+                    edits, stop = 0, len(item)
+                else:
+                    edits, stop = (0, exact + len(item) - a) if exact >= 0 else myers(masks, len(item), norm[a:b])
                 if edits < best:
                     best, at = edits, a + stop
             if best <= k:
@@ -139,8 +204,8 @@ def _pass(items: list[tuple[int | None, str]], keep_text: bool):
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row per row of docs: doc_id, contaminated, n_items, item_ids, hits (item, edits, end in the normalised text).
 
-    A null or empty text is never contaminated. Items shorter than ITEM normalised characters prove nothing and are not
-    searched; equal items are each reported. Rows that repeat give equal results; empty tables give empty results or no
+    A null or empty text is never contaminated. Items shorter than ITEM normalised characters are
+    found as they are, on word bounds; those without a letter or digit are not searched; equal items are each reported. Rows that repeat give equal results; empty tables give empty results or no
     hits. Texts are searched whole.
     """
     out = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.array().cast(HITS).alias("hits"))
