@@ -19,6 +19,20 @@ def test_against_sql(spark, con, name):
         assert got == oracle.sql_rows(con, ORACLES[name], df.columns)
 
 
+def test_watermark_batches_take_the_energy_window(spark):
+    """What the batch query finds, but for pairs whose singles left in different batches."""
+    got = [tuple(r) for r in QUERIES["stream_watermark_batches"](spark, SF).select("kind", "id1", "id2", "batch").collect()]
+    want = {tuple(r) for r in QUERIES["coincidences"](spark, SF).select("kind", "id1", "id2").collect()}
+    energy = {r["id"]: r["energy"] for r in QUERIES["energy_window"](spark, SF).collect()}
+    pairs = [x[:3] for x in got]
+    assert len(pairs) == len(set(pairs)) and set(pairs) <= want
+    assert any(min(energy[a], energy[b]) < 100 for _, a, b in pairs)
+    batch = {}
+    for _, a, b, n in got:
+        assert batch.setdefault(a, n) == n and batch.setdefault(b, n) == n
+    assert all(batch[a] != batch[b] for k, a, b in want - set(pairs) if a in batch and b in batch)
+
+
 def test_binned_join_equals_nested_loop(spark):
     from pyspark.sql import functions as F
 

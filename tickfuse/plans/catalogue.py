@@ -489,12 +489,12 @@ def stream_prompt_pairs(spark, d):
 
 @query()
 def stream_watermark_batches(spark, d):
-    """Pairs of watermark batches, each paired by itself, with the batch they left in."""
+    """Pairs of watermark batches, each paired by itself, with the batch they left in; the same singles as in batch queries."""
     from ..storage import shared_path
     from ..streaming import coincidence as live
 
     path, out = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
-    v.singles(spark, d).where("energy >= 100").repartition(4, "id").write.parquet(path)
+    cut(spark, d).repartition(4, "id").write.parquet(path)
     stream = spark.readStream.schema("id bigint, node_id int, channel int, crystal int, t bigint, energy double").option("maxFilesPerTrigger", 2).parquet(path)
     handler = live.WatermarkBatches(spark, out, 2, MARGIN, live.prompt_and_delay(W, D, CHANNELS))
     live.run_batches(stream, handler, shared_path(spark, "stream-checkpoint"))
