@@ -5,6 +5,7 @@ import os
 import random
 import re
 import sys
+import textwrap
 import zlib
 
 import numpy as np
@@ -429,6 +430,25 @@ def test_licenses(spark, docs, empty):
     assert license_scan.scan(docs).count() == docs.count() and license_scan.scan(empty).collect() == []
 
 
+def test_wrapped_licenses(spark):
+    wrap = lambda s, n, mark="": "\n".join(mark + x for x in textwrap.wrap(s, n))
+    own = {k: x[0] for k, x in license_scan.SENTENCES.items()}
+    bsd = [own[k] for k in ("RS", "RC", "RB", "RN")]
+    gpl = wrap(own["GF"], 70) + "\n\n" + wrap(own["GW"] + "  See the GNU General Public License for more details.", 70)
+    rows = [
+        (1, "Copyright (c) 2020, X\n\n" + wrap(bsd[0], 72) + "\n\n" + "\n\n".join(f"{i}. " + wrap(x, 60) for i, x in enumerate(bsd[1:], 1))),
+        (2, gpl),
+        (3, wrap(own["PG"], 78) + "\n\n" + wrap(own["PC"], 40)),
+        (4, wrap(own["AP"] + " " + own["AU"] + " " + own["AD"], 50, "# ")),
+        (5, wrap(bsd[0], 40, " * ").replace("without", "with")),
+        (6, own["GF"].replace(" it under", "\n\nit under")),
+        (7, "Released under\nthe MIT License.\r\nRedistribution and use|;\nMIT;License|"),
+    ]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["licenses"]) for r in got] == [(1, "BSD-3-Clause"), (2, "GPL-3.0"), (3, "MIT"), (4, "Apache-2.0"), (5, ""), (6, ""), (7, "MIT")]
+    assert [r["sentence_ids"] for r in got][:4] == ["RS RC RB RN", "GF GW", "PG PC", "AP AU AD"] and got[6]["sentence_ids"] == "MI MI"
+
+
 # shared -------------------------------------------------------------------------------------------------------------
 
 

@@ -38,12 +38,10 @@ RULES = [
     ("BSD-2-Clause", "RS RC RB"),
     ("BSD-unknown", "RS( RC)?"),
 ]
-#: A sentence ends at a line break, or after . ! ? and white space.
-BREAK = r"\n+|([.!?])[\x20\x09\x0D]+"
 
 
 def plain(sentence: str) -> str:
-    """The Python twin of normalised(): ASCII lower case, other characters than a-z and 0-9 as single spaces."""
+    """The Python twin of marked(), for one sentence: ASCII lower case, other characters than a-z and 0-9 as single spaces."""
     import re
 
     ascii_lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in sentence)
@@ -54,28 +52,36 @@ def known() -> dict[str, str]:
     return {plain(s): k for k, own in SENTENCES.items() for s in own}
 
 
-def normalised(sentence: Column) -> Column:
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.trim(F.regexp_replace(F.translate(sentence, upper, lower), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """A whole text in ASCII lower case, other characters than a-z and 0-9 as single spaces, with its breaks kept: ; for a line end that a sentence may go over, | for the end of
+    a sentence (white space after . ! ?) or a blank line, also one that has no letter or digit."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ|;", "abcdefghijklmnopqrstuvwxyz,,"
+    out = F.regexp_replace(F.translate(text, upper, lower), r"[.!?][\x20\x09-\x0A\x0D]+", "|")
+    out = F.regexp_replace(F.regexp_replace(out, "\n", ";"), "[^a-z0-9|;]+", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(out, " ?[|;](?: ?[|;])+ ?", "|"), " ?([|;]) ?", "$1"))
 
 
 def sentences(text: Column) -> Column:
-    """A sentence per element: a break is a run of line ends, or white space after a full stop, ! or ?."""
-    return F.split(F.regexp_replace(text, r"([.!?])[\x20\x09\x0D]+", "$1\n"), r"\n+")
+    """The known sentences of a text in order, normalised. Each begins and ends at a break, and may be wrapped over lines;
+    where one begins, the longest counts."""
+    longest = sorted(known(), key=lambda s: (-len(s), s))
+    whole = "(?<![^|;])(?:" + "|".join(s.replace(" ", "[ ;]") for s in longest) + ")(?![^|;])"
+    return F.transform(F.regexp_extract_all(marked(text), F.lit(whole), F.lit(0)), lambda s: F.translate(s, ";", " "))
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, n_sentences (known ones), sentence_ids (in order, space between), licenses (rule
     names in rule order, comma between, empty if none).
 
-    A null or empty text has no sentence. Rules run in order over the identifier sequence; what a rule has matched is
+    A sentence begins and ends at a line end or after . ! ? and white space; it may be wrapped over lines, but not over
+    a blank one. A null or empty text has no sentence. Rules run in order over the identifier sequence; what a rule has matched is
     replaced by a bar, so that no later rule joins the pieces around it. Repeated rows give repeated results. Only
     built-in functions: the sentence table is a literal of this module, so its size is fixed.
     """
     ids = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
     # A literal probe spares texts without any of the words the splitting.
     probe = F.lower(F.coalesce(F.col(text), F.lit(""))).rlike("licen|permission|redistribut|copyright|warrant|mit |free software|unless required|neither the name|you may")
-    found = F.filter(F.transform(sentences(F.col(text)), lambda s: ids[normalised(s)]), lambda x: x.isNotNull())
+    found = F.transform(sentences(F.col(text)), lambda s: ids[s])
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.when(probe, found).otherwise(F.array().cast("array<string>")).alias("ids"))
     rows = rows.withColumn("sentence_ids", F.array_join("ids", " "))
     rest, names = F.col("sentence_ids"), []
@@ -87,7 +93,7 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
 
 
 def scan_sql(docs: str = "documents") -> str:
-    """The same scan in DuckDB SQL."""
+    """The scan of sentences on one line each in DuckDB SQL; it does not see those wrapped over lines."""
     pairs = ", ".join(f"'{s}': '{k}'" for s, k in known().items())
     split = "string_split(regexp_replace(regexp_replace(coalesce(text, ''), '([.!?])[\\x20\\x09\\x0D]+', '\\1' || chr(10), 'g'), '\\n+', chr(10), 'g'), chr(10))"
     norm = "trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' ')"
