@@ -279,6 +279,18 @@ def test_language(spark, docs, empty):
     assert {r["lang_pred"] for r in language.identify(docs, none).collect()} == {"und"}
 
 
+def test_all_grams_are_kept(spark):
+    """More distinct 4-grams than 300,000, nearly all of them once."""
+    rng = random.Random(8)
+    rows = [(i, "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(8000)), "zh") for i in range(64)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    k, n = np.unique(language.grams([t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2])[0], return_counts=True)
+    want = language.KneserNey(k, n, len(np.unique(k & np.uint64(0xFFFF))) + 1)
+    assert len(k) > 300_000
+    for got, own in zip(model.models[0].orders, want.orders, strict=True):
+        assert got[0] == own[0] and all(np.array_equal(x, y) for x, y in zip(got[1:], own[1:], strict=True))
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 

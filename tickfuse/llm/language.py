@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 
-#: 4-grams that a language's model keeps at most (the most frequent ones); it bounds the broadcast.
-GRAMS = 300_000
 #: Texts for calibration at most, the share of them below the threshold, and what is added to it, in nats.
 CALIBRATE, SHARE, MARGIN = 2000, 0.995, 0.15
 #: Sharpness of the score in the difference of cross-entropies.
@@ -171,36 +169,28 @@ class Identifier:
         return [self.langs[i] for i in best], np.nan_to_num(np.clip(score, 0, 1)), ~(low <= self.limit[best])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", kept: int = GRAMS) -> Identifier:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Identifier:
     """Learns from the texts and languages of all rows that aren't held out. Rows without text or language teach
-    nothing; without any row the identifier knows no language."""
+    nothing; without any row the identifier knows no language. All 4-grams are kept, rare ones too, so that discounts and
+    continuation counts are those of all texts; the driver and each worker hold the models whole."""
     src = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col(doc_id).alias("i"))
     train = src.where(~held_out(F.col("i")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = train.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     try:
-        # A threshold on the count, from a histogram of its logarithm, leaves at most `kept` n-grams of a language.
-        level = F.floor(F.log2("n") * 16).cast("int")
-        floors: dict[str, int] = {}
-        seen: dict[str, int] = {}
-        for r in counts.groupBy("lang", level.alias("level")).count().orderBy("lang", F.desc("level")).collect():
-            seen[r["lang"]] = seen.get(r["lang"], 0) + r["count"]
-            if seen[r["lang"]] <= kept or r["lang"] not in floors:
-                floors[r["lang"]] = r["level"]
-        if not floors:
-            return Identifier([], [])
-        low = F.create_map(*[F.lit(x) for p in floors.items() for x in p])
-        rows = counts.where(level >= low[F.col("lang")]).toPandas()
+        langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+        tables = []
+        for name in langs:  # a language at a time is on its way to the driver
+            own = counts.where(F.col("lang") == name).select("gram", "n").toArrow()
+            k, n = own.column("gram").to_numpy().view(np.uint64), own.column("n").to_numpy()
+            order = np.argsort(k)
+            tables.append((k[order], n[order]))
     finally:
         counts.unpersist()
-    langs = sorted(floors)
-    alphabet = len(np.unique(rows["gram"].to_numpy().view(np.uint64) & np.uint64(0xFFFF))) + 1
-    models = []
-    for name in langs:
-        own = rows[rows["lang"] == name]
-        k, n = own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy()
-        order = np.argsort(k)
-        models.append(KneserNey(k[order], n[order], alphabet))
+    if not langs:
+        return Identifier([], [])
+    alphabet = len(np.unique(np.concatenate([np.unique(k & np.uint64(0xFFFF)) for k, _ in tables]))) + 1
+    models = [KneserNey(k, n, alphabet) for k, n in tables]
     out = Identifier(langs, models)
     n = train.count()
     some = train.where(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, CALIBRATE / max(n, 1)))).select("lang", "text")
