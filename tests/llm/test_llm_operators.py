@@ -291,6 +291,17 @@ def test_all_grams_are_kept(spark):
         assert got[0] == own[0] and all(np.array_equal(x, y) for x, y in zip(got[1:], own[1:], strict=True))
 
 
+def test_rare_languages_have_limits(spark):
+    """One text of each of 20 languages beside 20,000 of another."""
+    many = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("abc bca "), F.col("id") % 7).alias("text"), F.lit("aa").alias("lang"))
+    ids = [i for i in range(30000, 30100) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
+    rare = spark.createDataFrame([(i, "vwx yzw " * 4, f"r{i}") for i in ids], many.schema)
+    model = language.fit(many.unionByName(rare))
+    assert len(model.langs) == 21 and np.isfinite(model.limit).all()
+    h = model.entropies(["vwx yzw " * 4])[0]
+    assert all(abs(model.limit[j] - h[j] - language.MARGIN) < 1e-6 for j, x in enumerate(model.langs) if x != "aa")
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 Character 4-grams are counted over all texts that may be learnt from, with partial counts per task. A language's model
 keeps sorted arrays of packed n-grams for each order; a text goes to the language of the lowest cross-entropy per
-character, and is rejected where even that is above what the language's own texts show.
+character, and is rejected where even that is above what the language's own texts show, all of those learnt from.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 
-#: Texts for calibration at most, the share of them below the threshold, and what is added to it, in nats.
-CALIBRATE, SHARE, MARGIN = 2000, 0.995, 0.15
+#: The share of a language's own texts below its threshold, and what is added to it, in nats.
+SHARE, MARGIN = 0.995, 0.15
 #: Sharpness of the score in the difference of cross-entropies.
 SHARP = 12.0
 CHUNK = 1 << 20
@@ -192,8 +192,6 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     alphabet = len(np.unique(np.concatenate([np.unique(k & np.uint64(0xFFFF)) for k, _ in tables]))) + 1
     models = [KneserNey(k, n, alphabet) for k, n in tables]
     out = Identifier(langs, models)
-    n = train.count()
-    some = train.where(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, CALIBRATE / max(n, 1)))).select("lang", "text")
     sent = docs.sparkSession.sparkContext.broadcast(out)
 
     def own_entropy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +200,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
             h = h[np.arange(len(h)), [where[x] for x in b.column(0).to_pylist()]]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h)], ["lang", "h"])
 
-    limits = some.mapInArrow(own_entropy, "lang string, h double").groupBy("lang").agg(F.percentile_approx("h", SHARE, 1000).alias("h")).collect()
+    limits = train.select("lang", "text").mapInArrow(own_entropy, "lang string, h double").groupBy("lang").agg(F.percentile_approx("h", SHARE, 1000).alias("h")).collect()
     for r in limits:
         out.limit[langs.index(r["lang"])] = r["h"] + MARGIN
     return out
