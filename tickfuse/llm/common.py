@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from pyspark.sql.window import Window
 
 from ..storage import shared_path, table  # noqa: F401  what the operators take from here
 
@@ -82,3 +83,25 @@ def blocks_for(total: int, each: int) -> int:
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4, is 2: such rows are never learnt from. A null id counts as the empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4) == 2
+
+
+def row_key(text: Column) -> Column:
+    """What tells rows of one id apart: 64 bits of the text as it is."""
+    return F.xxhash64(text.cast("string"))
+
+
+def without(docs: DataFrame, gone: DataFrame, twice: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """docs without the rows whose (id, row_key) is in gone, and with one row of each that is in twice; both have columns
+    i and k. Ids are null-safe. Of rows that are told apart by other columns only, the first as JSON stays."""
+    i, k, n = free(docs, "i"), free(docs, "k"), free(docs, "n")
+
+    def has(df: DataFrame, these: DataFrame, how: str) -> DataFrame:
+        t = these.select(F.col("i").alias(i), F.col("k").alias(k))
+        return df.join(t, df[doc_id].cast("bigint").eqNullSafe(t[i]) & (row_key(df[text]) == t[k]), how)
+
+    rest = has(docs, gone, "left_anti")
+    if twice.isEmpty():
+        return rest
+    one = Window.partitionBy(F.col(doc_id).cast("bigint"), row_key(F.col(text))).orderBy(F.to_json(F.struct(*docs.columns)))
+    again = has(rest, twice, "left_semi").withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).drop(n)
+    return has(rest, twice, "left_anti").unionByName(again)

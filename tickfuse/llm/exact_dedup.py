@@ -14,10 +14,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, attach, free, table
+from .common import SPACE, attach, row_key, table, without
 
-#: log2 of the number of quotients of a filter block, and of the blocks. Quotient and remainder are 64 bits together.
-QUOTIENT_BITS, BLOCK_BITS = 12, 10
+#: log2 of the number of quotients of a filter block; block, quotient and remainder are 64 bits together, of which a packed
+#: remainder has 48 at most.
+QUOTIENT_BITS = 12
+#: Rows that a block is meant for, and log2 of the least and greatest number of blocks.
+BLOCK_ROWS, LEAST_BITS, MOST_BITS = 1 << 16, 6, 30
+
+
+#: The part of a row's key that tells apart rows of one id and length.
+KEY_MASK = (1 << 30) - 1
+
+
+def bits_for(rows: int) -> int:
+    """log2 of the number of blocks for so many rows, so that a block stays of one size however large the table."""
+    return min(MOST_BITS, max(LEAST_BITS, (max(1, rows) // BLOCK_ROWS).bit_length()))
 
 
 class CountingQuotientFilter:
@@ -36,6 +48,8 @@ class CountingQuotientFilter:
     def of(cls, prints: np.ndarray, times: np.ndarray, block_bits: int) -> CountingQuotientFilter:
         """prints: sorted, distinct; times: how often each occurs."""
         shift = cls.shift(block_bits)
+        if not 0 <= shift <= 48:
+            raise ValueError(f"{block_bits} block bits leave remainders of {shift} bits, which 48 can't hold")
         quotients = ((prints >> np.uint64(shift)) & np.uint64((1 << QUOTIENT_BITS) - 1)).astype(np.int64)
         runs = np.bincount(quotients, minlength=1 << QUOTIENT_BITS).astype(np.uint32)
         at = np.flatnonzero(times > 1)
@@ -131,41 +145,56 @@ def _merge(block_bits: int):
     return run
 
 
-def repeated_prints(prints: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+def repeated_prints(prints: DataFrame, block_bits: int) -> DataFrame:
     """prints: one bigint column of 64-bit fingerprints. Returns (print, times) of those that occur more than once."""
     filters = prints.mapInArrow(_build(block_bits), "block int, filter binary")
     dealt = filters.repartition("block").sortWithinPartitions("block")
     return dealt.mapInArrow(_merge(block_bits), "print bigint, times bigint")
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block_bits: int = BLOCK_BITS) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when equal after removing white space; a null text counts as empty, and all empty texts are one
-    group. Of equal texts the one with the most code points stays, then the smallest id; a null id comes last. Rows that
-    repeat an id count one by one and are all kept or dropped alike. An empty table gives an empty result.
-    """
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def compare(docs: DataFrame, text: str, doc_id: str, block_bits: int | None) -> DataFrame:
+    """One row per row of docs: doc_id, k (row_key), keep_id, keep_k (of the row that stays), group_size, text_sha256; keep_k
+    is null for a group of one row."""
+    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), row_key(F.col(text)).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     norm = F.regexp_replace("text", f"[{SPACE}]+", "")
     prints = src.select(F.xxhash64(norm).alias("print"))
-    again = table(repeated_prints(prints, block_bits), "exact-prints").select("print")
+    again = table(repeated_prints(prints, bits_for(src.count()) if block_bits is None else block_bits), "exact-prints").select("print")
     # Byte verification: only texts whose fingerprint repeats, grouped by the normalised bytes themselves; copies meet
-    # in the map-side aggregate first. Length, then smallest id, as one number, so that the aggregate can hash.
-    rank = F.expr("cast(length(text) as decimal(38,0)) * 18446744073709551616BD + (9223372036854775807BD - doc_id)")
-    suspects = src.select("doc_id", norm.alias("norm"), rank.cast("decimal(38,0)").alias("rank")).withColumn("print", F.xxhash64("norm"))
+    # in the map-side aggregate first. Length, then smallest id, then part of the row's key, as one number, so that the
+    # aggregate can hash: 31, 64 and 30 bits. A null id comes after all others of its length.
+    place = F.coalesce(F.expr("9223372036854775807BD - doc_id"), F.expr("-1BD"))
+    rank = (F.expr("cast(length(text) as decimal(38,0)) * 18446744073709551616BD") + place).cast("decimal(38,0)")
+    rank = (rank * F.expr("1073741824BD") + F.col("k").bitwiseAND(F.lit(KEY_MASK))).cast("decimal(38,0)")
+    suspects = src.select(norm.alias("norm"), rank.alias("rank")).withColumn("print", F.xxhash64("norm"))
     suspects = suspects.join(again, "print", "left_semi")
-    groups = suspects.groupBy("norm").agg(F.count(F.lit(1)).alias("group_size"), F.max("rank").alias("rank"))
-    keep = F.expr("9223372036854775807BD - rank % 18446744073709551616BD").cast("bigint")
-    groups = groups.where("group_size > 1").select(F.sha2("norm", 256).alias("text_sha256"), keep.alias("keep_id"), "group_size")
-    groups = table(groups, "exact-groups")
-    rows = src.select("doc_id", F.sha2(norm, 256).alias("text_sha256"))
-    out = attach(rows, groups, ["text_sha256"])
+    groups = suspects.groupBy("norm").agg(F.count(F.lit(1)).alias("group_size"), F.max("rank").alias("rank")).where("group_size > 1")
+    place = F.expr("cast((rank - rank % 1073741824BD) / 1073741824BD as decimal(38,0)) % 18446744073709551616BD")
+    keep = F.when(place <= F.expr("18446744073709551614BD"), F.expr("9223372036854775807BD") - place).cast("bigint")
+    best = groups.select(F.sha2("norm", 256).alias("text_sha256"), keep.alias("keep_id"), F.expr("cast(rank % 1073741824BD as bigint)").alias("keep_k"), "group_size")
+    best = table(best, "exact-groups")
+    rows = src.select("doc_id", "k", F.sha2(norm, 256).alias("text_sha256"))
+    out = attach(rows, best, ["text_sha256"])
     keep_id = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    return out.select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
+    return out.select("doc_id", "k", keep_id.alias("keep_id"), "keep_k", F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"), "text_sha256")
+
+
+def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", block_bits: int | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when equal after removing white space; a null text counts as empty, and all empty texts are one
+    group. Of equal texts the one with the most code points stays, then the smallest id; a null id comes last. Rows that
+    repeat an id count one by one and are all kept or dropped alike. Texts are compared whole, whatever their length; other
+    columns are not looked at, so their names can't clash. An empty table gives an empty result.
+    """
+    out = compare(docs, text, doc_id, block_bits)
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_distinct(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """docs without the rows that exact_duplicates drops; all columns stay."""
-    drop = free(docs, "dropped_id")
-    gone = exact_duplicates(docs, text, doc_id).where("not kept").select(F.col("doc_id").alias(drop))
-    return docs.join(gone, docs[doc_id] == gone[drop], "left_anti")
+    """docs with one row of each group of equal texts, that which exact_duplicates names; all columns stay. Rows are told
+    apart by id and text, so an id that recurs with another text loses neither."""
+    rows = table(compare(docs, text, doc_id, None).select(F.col("doc_id").alias("i"), "k", "keep_id", "keep_k"), "exact-rows")
+    stays = F.col("keep_k").isNull() | (F.col("i").eqNullSafe(F.col("keep_id")) & (F.col("k").bitwiseAND(F.lit(KEY_MASK)) == F.col("keep_k")))
+    gone = rows.where(~stays).select("i", "k").distinct()
+    twice = rows.where(stays & F.col("keep_k").isNotNull()).groupBy("i", "k").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("i", "k")
+    return without(docs, gone, table(twice, "exact-twice"), text, doc_id)
