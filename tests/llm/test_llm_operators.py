@@ -384,8 +384,8 @@ def test_near_duplicates(spark, docs, empty, monkeypatch):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     want = sorted((i, find(i), links[n]) for n, (i, _) in enumerate(rows))
     plain = docs.where("doc_id is not null")
-    for blocks in (4096, 3):
-        monkeypatch.setattr(near_dup, "BLOCK_DOCS", blocks)
+    for least in (128, 2):
+        monkeypatch.setattr(near_dup, "LEAST", least)
         assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in near_dup.near_duplicates(plain).collect()) == want
     assert near_dup.near_duplicates(docs).count() == docs.count()
     assert near_dup.near_duplicates(empty).collect() == []
@@ -393,6 +393,61 @@ def test_near_duplicates(spark, docs, empty, monkeypatch):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {c for _, c, _ in want}
 
 
+def test_hot_site_in_blocks(spark, monkeypatch):
+    """60 near copies of one text: every pair is a link, counted once though the pairs share many bands."""
+    rng = random.Random(12)
+    base = words(rng, 400, 10**6).split()
+    rows = []
+    for i in range(60):
+        t = list(base)
+        t[rng.randrange(400)] = f"new{i}"
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for parts, least in ((6, 2), (60, 1)):
+        monkeypatch.setattr(near_dup, "PARTS", parts)
+        monkeypatch.setattr(near_dup, "LEAST", least)
+        assert {(r["class_id"], r["n_links"]) for r in near_dup.near_duplicates(df).collect()} == {(0, 59)}
+
+
+def test_identity_is_no_polynomial(spark):
+    """A Thue-Morse word and its complement, and texts of such words: polynomials modulo 2**64 take them for equal."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    rows = [(1, a), (2, b), (3, " ".join(["up", "down"][x] for x in bits)), (4, " ".join(["down", "up"][x] for x in bits)), (5, a + " x y"), (6, b + " x y")]
+    got = {r["doc_id"]: r["copies"] for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == dict.fromkeys(range(1, 7), 1)
+    buf = np.frombuffer((a + b).encode(), np.uint8)
+    x, y = wordlib.hashes(buf, np.array([0, 2048, 0, 2048]), np.array([2048, 4096, 100, 2148]))
+    assert len(set(x.tolist())) == 4 and len(set(y.tolist())) == 4
+
+
+def test_repeated_ids_lose_nothing(spark):
+    rng = random.Random(13)
+    one, two = words(rng, 50), words(rng, 50)
+    schema = "doc_id bigint, text string, i string, k map<string,int>, source string"
+    rows = [(5, one), (5, two), (7, two.upper()), (8, "other text that stays here"), (8, "other text that stays here"), (None, one), (None, "no id at all in this"), (None, "no id at all in this"), (9, None), (9, None)]
+    df = spark.createDataFrame([(i, t, "x", {"a": n}, "s") for n, (i, t) in enumerate(rows)], schema).repartition(2)
+    got = sorted((key(r["doc_id"]), r["class_id"], r["copies"]) for r in near_dup.near_duplicates(df.where("doc_id is not null")).collect())
+    assert got == [(5, 5, 1), (5, 5, 2), (7, 5, 2), (8, 8, 2), (8, 8, 2), (9, 9, 1), (9, 9, 1)]
+    kept = near_dup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(5, one), (5, two), (8, rows[3][1]), (None, rows[6][1]), (9, None), (9, None)], key=str)
+
+
+def test_keep_distinct_by_rows(spark):
+    rows = [(1, "x y"), (2, "xy"), (2, "unique text"), (3, "unique  text"), (2, "unique text"), (4, None), (4, ""), (None, "x  y"), (None, "z"), (None, " z")]
+    kept = exact_dedup.keep_distinct(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = [(r[0], r[1]) for r in kept.collect()]
+    assert sorted((WS.sub("", t or "") for _, t in got)) == ["", "uniquetext", "xy", "z"]
+    assert (None, "x  y") in got and (3, "unique  text") in got and (None, " z") in got
+    alike = [(1, "same"), (1, "same"), (5, "other"), (5, "same "), (5, "sa me")]
+    got = [(r[0], r[1]) for r in exact_dedup.keep_distinct(spark.createDataFrame(alike, "doc_id bigint, text string")).collect()]
+    assert sorted(i for i, _ in got) == [5, 5] and (5, "other") in got
+    with pytest.raises(Exception, match="remainders"):
+        exact_dedup.exact_duplicates(kept, block_bits=3).collect()
+    assert [exact_dedup.bits_for(n) for n in (0, 10**6, 10**9, 10**11)] == [6, 6, 14, 21]
+
+
 def test_overlaps_both_ways():
     rng = np.random.default_rng(3)
     a = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(12)]

@@ -1,8 +1,10 @@
 """N-gram Jaccard join by MinHash banding.
 
-Equal word sequences first become one representative. Bands of MinHash values deal representatives into buckets;
-representatives that share a bucket form candidate components. Within a component, pairs that share a bucket are
-verified on their full shingle sets, block against block, so that no pair is ever a row.
+Equal word sequences first become one representative. Bands of MinHash values deal representatives into buckets.
+Buckets that overlap are put together: each goes to the site of the least band hash that any of its members has, so that
+near copies, which share most of their bands, meet once and not once a band. A site reaches two buckets far at most;
+nothing chains further before it is verified. At their sites, pairs that share a bucket are verified on their full shingle sets,
+block against block, so that no pair is ever a row, and a hot site is many tasks.
 """
 
 from __future__ import annotations
@@ -15,13 +17,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, free, lean, table
+from .common import attach, lean, row_key, table, without
 from .components import components
-from .words import _ODD, chunks, mix, powers, prefix, spans, words
+from .words import _ODD, chunks, hashes, mix, sequences, words
 
 SHINGLE, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.996, 8
-#: Representatives and shingles of a block of a candidate component.
-BLOCK_DOCS, BLOCK_SHINGLES = 4096, 4 << 20
+#: A site is cut into about PARTS blocks, of LEAST to MOST representatives and so many shingles each.
+PARTS, LEAST, MOST, BLOCK_SHINGLES = 12, 128, 4096, 4 << 20
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -37,13 +39,9 @@ def shingles(off: np.ndarray, buf: np.ndarray, size: int = SHINGLE) -> tuple[np.
     fewer words than a shingle has its whole sequence as the one shingle; a text without words has none."""
     n = len(off) - 1
     s, e, rows = words(off, buf)
-    h = spans(prefix(buf), s, e)
+    h, other = hashes(buf, s, e)
     cut = np.searchsorted(rows, np.arange(n + 1))
-    up, down = powers(len(h) + 1)
-    ids = []
-    for salt in (np.uint64(0), np.uint64(0xD6E8FEB86659FD93)):
-        p = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(h ^ salt) * down[: len(h)], dtype=np.uint64)))
-        ids.append(mix((p[cut[1:]] - p[cut[:-1]]) * up[cut[:-1]] + np.diff(cut).astype(np.uint64)))
+    ids = sequences(h, other, cut)
     if len(h) >= size:
         x = h[: len(h) - size + 1].copy()
         for k in range(1, size):
@@ -54,10 +52,10 @@ def shingles(off: np.ndarray, buf: np.ndarray, size: int = SHINGLE) -> tuple[np.
         x, r = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     few = np.flatnonzero((np.diff(cut) > 0) & (np.diff(cut) < size))
     if len(few):
-        x, r = np.concatenate((x, ids[0][few])), np.concatenate((r, few))
+        x, r = np.concatenate((x, ids[few, 0].view(np.uint64))), np.concatenate((r, few))
         order = np.argsort(r, kind="stable")
         x, r = x[order], r[order]
-    return x, r, ids[0], ids[1]
+    return x, r, ids[:, 0], ids[:, 1]
 
 
 def signatures(x: np.ndarray, r: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +75,11 @@ def signatures(x: np.ndarray, r: np.ndarray, bands: int, rows: int) -> tuple[np.
 
 
 def _sign(bands: int, rows: int):
+    """(doc_id, k, text) to (doc_id, k, h1, h2, n, bands)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, off, buf in chunks(pc.utf8_lower(pc.fill_null(batch.column(1), ""))):
+            for first, off, buf in chunks(pc.utf8_lower(pc.fill_null(batch.column(2), ""))):
                 n = len(off) - 1
                 x, r, h1, h2 = shingles(off, buf)
                 count = np.bincount(r, minlength=n)
@@ -87,21 +87,20 @@ def _sign(bands: int, rows: int):
                 size = np.zeros(n + 1, np.int32)
                 size[have + 1] = bands
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(size, dtype=np.int32)), pa.array(sig.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(count.astype(np.int32)), lists], ["doc_id", "h1", "h2", "n", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(h1), pa.array(h2), pa.array(count.astype(np.int32)), lists], ["doc_id", "k", "h1", "h2", "n", "bands"])
 
     return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, h1, text) to (node, sorted distinct shingles); rows whose text isn't the representative's go."""
+    """(node, text) to (node, sorted distinct shingles)."""
     for batch in batches:
-        for first, off, buf in chunks(pc.utf8_lower(pc.fill_null(batch.column(2), ""))):
+        for first, off, buf in chunks(pc.utf8_lower(pc.fill_null(batch.column(1), ""))):
             n = len(off) - 1
-            x, r, h1, _ = shingles(off, buf)
+            x, r, _, _ = shingles(off, buf)
             cut = np.searchsorted(r, np.arange(n + 1))
-            same = h1.view(np.int64) == batch.column(1).slice(first, n).to_numpy(zero_copy_only=False)
-            sets = [np.unique(x[a:b]).tobytes() if ok else None for a, b, ok in zip(cut, cut[1:], same, strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(sets, pa.binary())], ["node", "shingles"]).filter(pa.array(same))
+            sets = [np.unique(x[a:b]).tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -128,20 +127,21 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndar
     return out[i, j].astype(np.int64)
 
 
-def link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, left: np.ndarray, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, here: np.ndarray, lower: np.ndarray, left: np.ndarray, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of a block pair: for each representative, the documents that it is linked to, and the smallest
-    representative that its links reach here. left: which rows are of the first block; same: both are one block."""
+    representative that its links reach here. here and lower: which of a row's bands have this site, or a smaller one (a
+    pair that shares one of those is verified there). left: which rows are of the first block; same: both are one block."""
     la = np.flatnonzero(left) if not same else np.arange(len(nodes))
     lb = np.flatnonzero(~left) if not same else la
     i, j = [], []
     for k, x in enumerate(la):
         others = lb[k + 1 :] if same else lb
-        hit = np.zeros(len(others), bool)
-        for a in range(0, len(others), 8192):
-            hit[a : a + 8192] = (bands[others[a : a + 8192]] == bands[x]).any(1)
-        y = np.flatnonzero(hit) + (k + 1 if same else 0)
+        own, less = np.flatnonzero(here[x]), np.flatnonzero(lower[x])
+        y = others[(bands[others][:, own] == bands[x, own]).any(1)]
+        if len(less) and len(y):
+            y = y[~(bands[y][:, less] == bands[x, less]).any(1)]
         i.append(np.full(len(y), k))
-        j.append(y)
+        j.append(np.searchsorted(lb, y))
     i, j = np.concatenate(i) if i else np.zeros(0, int), np.concatenate(j) if j else np.zeros(0, int)
     na, nb = np.array([len(sets[x]) for x in la]), np.array([len(sets[x]) for x in lb])
     fits = np.minimum(na[i], nb[j]) >= similarity * np.maximum(na[i], nb[j]) - 1e-9  # else the sizes alone rule it out
@@ -150,10 +150,9 @@ def link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: n
     good = both >= similarity * (na[i] + nb[j] - both) - 1e-9
     x, y = la[i[good]], lb[j[good]]
     links = np.bincount(x, copies[y], minlength=len(nodes)) + np.bincount(y, copies[x], minlength=len(nodes))
-    root, order = np.arange(len(nodes)), np.argsort(nodes, kind="stable")
-    place = np.empty(len(nodes), np.int64)
-    place[order] = np.arange(len(nodes))
-    root = place.copy()  # by rank of the node, so that the smallest node wins
+    order = np.argsort(nodes, kind="stable")
+    root = np.empty(len(nodes), np.int64)
+    root[order] = np.arange(len(nodes))  # by rank of the node, so that the smallest node wins
     while len(x):
         before = root.copy()
         np.minimum.at(root, x, root[y])
@@ -164,33 +163,100 @@ def link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: n
     return links.astype(np.int64), nodes[order[root]]
 
 
-def _verify(similarity: float):
-    """Block pairs, each the consecutive rows of one (comp, i, j), to (node, links, root) of linked nodes."""
+def _verify(similarity: float, bands: int):
+    """Block pairs, each the consecutive rows of one (site, i, j), to (node, links, root) of linked nodes."""
 
-    def close(rows: list[tuple]) -> pa.RecordBatch:
-        nodes = np.array([r[3] for r in rows], np.int64)
-        block, copies = np.array([r[4] for r in rows]), np.array([r[5] for r in rows], np.int64)
-        sets, bands = [np.frombuffer(r[6], np.uint64) for r in rows], np.array([r[7] for r in rows], np.int64)
-        links, root = link(nodes, copies, sets, bands, block == rows[0][1], rows[0][1] == rows[0][2], similarity)
+    def close(rows: pa.Table) -> pa.RecordBatch | None:
+        node = rows.column("node").to_numpy()
+        one = np.concatenate(([True], node[1:] != node[:-1]))  # equal rows of the input are one representative
+        if one.sum() < 2:
+            return None
+        rows = rows.filter(pa.array(one))
+        i, j, block, copies, here, lower = (rows.column(c).to_numpy() for c in ("i", "j", "block", "copies", "here", "lower"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+        own = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, bands)
+        flags = [(m[:, None] >> np.arange(bands)) & 1 == 1 for m in (here, lower)]
+        links, root = link(node[one], copies, sets, own, *flags, block == i[0], bool(i[0] == j[0]), similarity)
         on = links > 0
-        return pa.RecordBatch.from_arrays([pa.array(nodes[on]), pa.array(links[on]), pa.array(root[on])], ["node", "links", "root"])
+        return pa.RecordBatch.from_arrays([pa.array(node[one][on]), pa.array(links[on]), pa.array(root[on])], ["node", "links", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        held: list[pa.RecordBatch] = []
+        last: tuple | None = None
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[:3] != key:
-                    if len(held) > 1:
-                        yield close(held)
-                    key, held = row[:3], []
-                if not held or held[-1][3] != row[3]:  # a repeated id with the same text is one representative
-                    held.append(row)
-        if len(held) > 1:
-            yield close(held)
+            if not b.num_rows:
+                continue
+            site, i, j = (b.column(c).to_numpy() for c in range(3))
+            cut = [0, *(np.flatnonzero((site[1:] != site[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist(), b.num_rows]
+            for a, z in zip(cut, cut[1:], strict=False):
+                if last != (site[a], i[a], j[a]):
+                    if held and (done := close(pa.Table.from_batches(held))):
+                        yield done
+                    held, last = [], (site[a], i[a], j[a])
+                held.append(b.slice(a, z - a))
+        if held and (done := close(pa.Table.from_batches(held))):
+            yield done
 
     return run
 
 
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """reps: node, n, copies, bands. The representatives that share a bucket (a column), and a row for each of them, site
+    that it meets others at, and pair of blocks: site, i, j, node, block, copies, here, lower, bands."""
+    dealt = reps.select("node", F.posexplode("bands").alias("at", "bucket"))
+    full = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket")
+    members = table(attach(dealt, full, ["bucket"], "inner"), "near-members")
+    lows = members.groupBy("node").agg(F.min("bucket").alias("low"))
+    sites = attach(members, lows, ["node"], "inner").groupBy("bucket").agg(F.min("low").alias("site"))
+    each = attach(members, sites, ["bucket"], "inner").groupBy("node", "site").agg(F.sum(F.expr("1L << at")).alias("here"))
+    own = each.groupBy("node").agg(F.collect_list(F.struct("site", "here")).alias("sites"))  # at most one a band
+    cand = table(own.join(reps, "node").select("node", "n", "copies", "sites", "bands"), "near-candidates")
+    less = F.aggregate("sites", F.lit(0).cast("bigint"), lambda acc, s: F.when(s["site"] < F.col("s.site"), acc.bitwiseOR(s["here"])).otherwise(acc))
+    placed = cand.withColumn("s", F.explode("sites")).withColumn("lower", less)
+    sizes = cand.select("n", F.explode("sites.site").alias("site")).groupBy("site").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("m > 1")
+    size = F.least(F.greatest(F.ceil(F.col("m") / PARTS), F.lit(LEAST)), F.lit(MOST))
+    blocks = sizes.select("site", F.greatest(F.ceil(F.col("m") / size), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = placed.select(F.col("s.site").alias("site"), "node", "copies", F.col("s.here").alias("here"), "lower", "bands")
+    placed = attach(placed, blocks, ["site"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return cand.select("node"), pairs.select("site", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies", "here", "lower", "bands")
+
+
+def classify(docs: DataFrame, text: str, doc_id: str, similarity: float, recall: float, rows: int) -> DataFrame:
+    """One row per row of docs: doc_id, k (row_key), class_id, n_links, copies, kept (the row's text and id are those of the
+    document that its class keeps)."""
+    bands = bands_for(similarity, recall, rows)
+    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), row_key(F.col(text)).alias("k"), F.col(text).cast("string").alias("text"))
+    signed = table(src.mapInArrow(lean(_sign(bands, rows)), "doc_id bigint, k bigint, h1 bigint, h2 bigint, n int, bands array<bigint>"), "near-signatures")
+    some = signed.where("n > 0")
+    # The first row of each word sequence names its place in the tables; nodes are numbers of their own, as ids may repeat.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))
+    reps = some.groupBy("h1", "h2").agg(first.alias("f"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    reps = reps.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "f.doc_id", "f.k", "copies", "n", "bands")
+    reps = table(reps, "near-representatives")
+    met, pairs = candidates(reps)
+    ids = reps.join(met, "node").select("node", F.col("doc_id").alias("d"), F.col("k").alias("kk"))
+    texts = src.join(ids, src["doc_id"].eqNullSafe(ids["d"]) & (src["k"] == ids["kk"])).select("node", "text")
+    sets = texts.mapInArrow(lean(_sets), "node bigint, shingles binary")
+    pairs = pairs.join(sets, "node").select("site", "i", "j", "node", "block", "copies", "shingles", "bands", "here", "lower")
+    pairs = pairs.repartition("site", "i", "j").sortWithinPartitions("site", "i", "j", "node")
+    found = table(pairs.mapInArrow(lean(_verify(similarity, bands)), "node bigint, links bigint, root bigint"), "near-links")
+    links = found.groupBy("node").agg(F.sum("links").alias("others"))
+    joined = table(components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).join(links, "node"), "near-components")
+    # Of a class, the row of the smallest id stays; ids that are null come last.
+    own = joined.join(reps.select("node", "doc_id", "h1"), "node")
+    leads = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "node")).alias("l"))
+    grouped = attach(joined, leads, ["root"], "inner").select("node", "others", F.col("l.doc_id").alias("first_id"), F.coalesce("l.doc_id", "l.h1").alias("class_id"), (F.col("l.node") == F.col("node")).alias("lead"))
+    alone = [F.coalesce("first_id", "doc_id").alias("first_id"), F.coalesce("class_id", "doc_id", "h1").alias("class_id"), F.coalesce("others", F.lit(0).cast("bigint")).alias("others"), F.coalesce("lead", F.lit(True)).alias("lead")]
+    known = table(attach(reps, grouped, ["node"]).select("h1", "h2", F.col("k").alias("first_k"), "copies", *alone), "near-classes")
+    out = attach(some.select("doc_id", "k", "h1", "h2"), known, ["h1", "h2"])
+    kept = F.col("lead") & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("k") == F.col("first_k"))
+    out = out.select("doc_id", "k", "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"), "copies", kept.alias("kept"))
+    one = F.lit(1).cast("bigint")
+    bare = signed.where("n = 0").select("doc_id", "k", F.col("doc_id").alias("class_id"), (one - 1).alias("n_links"), one.alias("copies"), F.lit(True).alias("kept"))
+    return out.unionByName(bare)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
     """One row per row of docs: doc_id, class_id, n_links, copies.
 
@@ -198,50 +264,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Jaccard similarity of at least `similarity`; class_id is the smallest id that links reach, n_links how many other
     documents this one is linked to, copies how many rows have its word sequence. Texts without words (null, empty,
     white space) have no shingle and are each a class of their own. Texts of fewer words than a shingle are linked to
-    equal sequences only. A row with a null id takes part only as a copy
-    of a row with an id; without one its class is a hash of its text. An empty table stays empty.
-    Pairs are found with probability `recall` at the threshold, and more above it; links are exact.
+    equal sequences only. Rows that repeat an id are rows of their own, whatever their texts. A class of rows with null
+    ids only is named by a hash of a text of it. An empty table stays empty; other columns are not looked at, and a text's length
+    is bounded by a task's memory only (a text is one chunk).
+    Pairs are found with probability `recall` at the threshold, and more above it; links are exact but for chance
+    collisions of 64-bit shingle hashes, and word sequences are told apart by 128 bits.
     """
-    bands = bands_for(similarity, recall, rows)
-    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = table(src.mapInArrow(lean(_sign(bands, rows)), "doc_id bigint, h1 bigint, h2 bigint, n int, bands array<bigint>"), "near-signatures")
-    some = signed.where("n > 0")
-    reps = some.groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id"), F.min("h1")).alias("node"), F.count(F.lit(1)).alias("copies"))
-    reps = table(reps, "near-representatives")
-    full = some.join(reps.select(F.col("node").alias("doc_id"), "copies", F.col("h1").alias("g1")), "doc_id").where("g1 = h1").select(F.col("doc_id").alias("node"), "h1", "n", "copies", "bands").dropDuplicates(["node"])
-    full = table(full, "near-bands")
-    dealt = full.select("node", F.explode("bands").alias("bucket"))
-    leads = dealt.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket", "lead")
-    edges = attach(dealt, leads, ["bucket"], "inner").where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    comps = components(edges)
-    cand = table(comps.join(full, "node").select("node", F.col("root").alias("comp"), "h1", "n", "copies", "bands"), "near-candidates")
-    sizes = cand.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
-    blocks = sizes.select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = attach(cand, blocks, ["comp"], "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = src.where(F.length("text") > 0).join(cand.select(F.col("node").alias("doc_id"), "h1"), "doc_id")
-    sets = texts.select(F.col("doc_id").alias("node"), "h1", "text").mapInArrow(lean(_sets), "node bigint, shingles binary")
-    pairs = placed.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies", "shingles", "bands")
-    pairs = pairs.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node")
-    found = table(pairs.mapInArrow(lean(_verify(similarity)), "node bigint, links bigint, root bigint"), "near-links")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    # Components of one block are resolved already; only roots of several blocks meet in rounds.
-    wide = blocks.where("blocks > 1").select("comp")
-    split = attach(found, cand.select("node", "comp"), ["node"], "inner").join(wide, "comp").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    if split.isEmpty():
-        roots = links
-    else:
-        joined = components(split).select("node", F.col("root").alias("top"))
-        roots = attach(links, joined, ["node"]).select("node", "links", F.coalesce("top", "root").alias("root"))
-    known = table(attach(reps, roots, ["node"]).select("h1", "h2", "copies", F.coalesce("root", "node").alias("class_id"), F.coalesce("links", F.lit(0).cast("bigint")).alias("others")), "near-classes")
-    out = attach(some.select("doc_id", "h1", "h2"), known, ["h1", "h2"])
-    out = out.select("doc_id", "class_id", (F.col("others") + F.col("copies") - 1).alias("n_links"), "copies")
-    bare = signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("copies"))
-    return out.unionByName(bare)
+    return classify(docs, text, doc_id, similarity, recall, rows).select("doc_id", "class_id", "n_links", "copies")
 
 
-def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options: float) -> DataFrame:
-    """docs with one document of each class, that of the smallest id; all columns stay. Rows with a null id stay."""
-    gone = free(docs, "gone_id")
-    drop = near_duplicates(docs, text, doc_id, **options).where("doc_id <> class_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs[doc_id] == drop[gone], "left_anti")
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
+    """docs with one row of each class, that of the smallest id; all columns stay, whatever their names. Rows are told
+    apart by id and text, so an id that recurs with a text of another class loses neither. Texts without words stay."""
+    all_ = table(classify(docs, text, doc_id, similarity, recall, rows).select(F.col("doc_id").alias("i"), "k", "copies", "kept"), "near-kept")
+    gone = all_.where("not kept").select("i", "k").distinct()
+    twice = table(all_.where("kept and copies > 1").groupBy("i", "k").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("i", "k"), "near-twice")
+    return without(docs, gone, twice, text, doc_id)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, lean
-from .words import chunks, prefix, spans, words
+from .words import chunks, hashes, words
 
 #: Labelled documents to fit on at most; the broadcast is bounded by it: SAMPLE * DIMS floats and the projection.
 SAMPLE, DIMS, NEIGHBOURS, THRESHOLD = 4096, 64, 16, 0.7
@@ -42,7 +42,7 @@ def terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
         bytes_ = np.bincount(row_of * 256 + buf, minlength=n * 256).reshape(n, 256).astype(np.float32)
         bytes_ = np.sqrt(bytes_ / np.maximum(bytes_.sum(1, keepdims=True), 1))
         s, e, rows = words(off, buf)
-        h = spans(prefix(buf), s, e)
+        h = hashes(buf, s, e)[0]
         again = np.zeros(len(h), bool)
         again[1:] = (h[1:] == h[:-1]) & (rows[1:] == rows[:-1])
         count = lambda flag: (c := np.concatenate(([0], np.cumsum(flag[buf]))))[e] - c[s]
