@@ -40,8 +40,8 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 def runs(off: np.ndarray, buf: np.ndarray) -> dict[str, np.ndarray]:
     """Maximal runs of windows with the same anchor: row, start (first window, in the text), n (windows), anchor (hash of
-    its K bytes), span (hash of all bytes of the run and the anchor's place in it)."""
-    cols: dict[str, list[np.ndarray]] = {c: [] for c in ("row", "start", "n", "anchor", "span", "at")}
+    its K bytes), span and span2 (two hashes of all bytes of the run and the anchor's place in it)."""
+    cols: dict[str, list[np.ndarray]] = {c: [] for c in ("row", "start", "n", "anchor", "span", "span2")}
     parts, i = pieces(off), 0
     while i < len(parts):
         j, size = i, 0
@@ -70,6 +70,6 @@ def runs(off: np.ndarray, buf: np.ndarray) -> dict[str, np.ndarray]:
         cols["start"].append(first + begin[owner[first]])
         cols["n"].append(stop - first)
         cols["anchor"].append(grams[at])
-        cols["span"].append(mix(spans(p, first, stop + WINDOW - 1) ^ (at - first).astype(np.uint64)))
-        cols["at"].append(at - first)
-    return {c: np.concatenate(x) if x else np.zeros(0, np.uint64 if c in ("anchor", "span") else np.int64) for c, x in cols.items()}
+        for c, sums in (("span", p), ("span2", prefix(text, 1))):
+            cols[c].append(mix(spans(sums, first, stop + WINDOW - 1) ^ (at - first).astype(np.uint64)))
+    return {c: np.concatenate(x) if x else np.zeros(0, np.int64 if c in ("row", "start", "n") else np.uint64) for c, x in cols.items()}

@@ -3,8 +3,8 @@
 Every suffix that is at least WINDOW bytes long belongs to the bucket of its anchor, a sample position that equal
 windows share (anchors.py). Neighbouring suffixes of a bucket form runs. A bucket is sorted by the precomputed name of
 the run's whole text, which settles all suffixes of equal runs at once, however long the repeat; only buckets that hold
-different runs have their bytes fetched and their suffixes compared one by one. README says how this differs from a
-difference cover over positions, and why.
+different runs have their bytes fetched and their suffixes compared one by one. Names are two hashes of 64 bits each. README
+says how this differs from a difference cover over positions, and why.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WINDOW, runs
-from .common import attach, table
+from .common import attach, row_key, table
 from .words import chunks, mix, prefix, spans
 
 #: A run's place as one number: first window * PACK + windows (a run has fewer than PACK, as its windows share an anchor).
@@ -30,148 +30,188 @@ RUNS = 512
 #: Rows of runs that are looked at together.
 ROWS = 2048
 LAST = (1 << 63) - 1
+#: An anchor that holds this share of all runs is dealt to so many tasks by name. It is looked for in a share of documents;
+#: where a run is dealt doesn't change what is found.
+HOT, SALTS, LOOKED = 0.001, 64, 64
 
 
-def _runs(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to (key, span, doc, place). A run that equals an earlier one of this task is settled here: its place is
-    negative and its key random, so that a frequent passage sends one row per task to its bucket."""
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for _, off, buf in chunks(pc.fill_null(b.column(0), "")):
+            found, n = np.unique(runs(off, buf)["anchor"], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["anchor", "n"])
+
+
+def hot_anchors(docs: DataFrame, share: float = HOT, looked: int = LOOKED) -> np.ndarray:
+    """Anchors that hold at least `share` of the runs in one of `looked` documents, so 1 / share at most."""
+    some = docs.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(looked)) == 0).select("text")
+    counts = table(some.mapInArrow(_anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")), "suffix-anchors")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    got = counts.where(F.col("n") >= max(4, share * total)).select("anchor").collect()
+    return np.sort(np.array([r["anchor"] for r in got], np.int64)).view(np.uint64)
+
+
+def _runs(hot: np.ndarray, most: int = 1 << 20):
+    """(doc, tag, text) to (key, salt, span, span2, doc, tag, place). A run that equals an earlier one of this task is settled
+    here: its place is negative and its key random, so that a frequent passage sends one row per task to its bucket. Runs of
+    a hot anchor have a salt above 0, by their name."""
 
     def give(held: list[tuple]) -> pa.RecordBatch:
-        anchor, span, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((place, doc, span, anchor))
-        anchor, span, doc, place = anchor[order], span[order], doc[order], place[order]
+        anchor, span, span2, doc, tag, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, tag, doc, span2, span, anchor))
+        anchor, span, span2, doc, tag, place = (x[order] for x in (anchor, span, span2, doc, tag, place))
         again = np.zeros(len(anchor), bool)
-        # Equal ids and places are one document that is there twice; neither is before the other.
-        again[1:] = (anchor[1:] == anchor[:-1]) & (span[1:] == span[:-1])
+        # Equal ids, tags and places are one document that is there twice; neither is before the other.
+        again[1:] = (anchor[1:] == anchor[:-1]) & (span[1:] == span[:-1]) & (span2[1:] == span2[:-1])
         first = np.maximum.accumulate(np.where(again, 0, np.arange(len(anchor))))
-        settled = (doc != doc[first]) | (place != place[first])
+        settled = (doc != doc[first]) | (tag != tag[first]) | (place != place[first])
         key = np.where(settled, mix(doc.view(np.uint64) * np.uint64(31) + place.view(np.uint64)), anchor)
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.where(settled, np.uint64(0), span).view(np.int64)), pa.array(doc), pa.array(np.where(settled, -place - 1, place))], ["key", "span", "doc", "place"])
+        salt = np.where(~settled & np.isin(anchor, hot), span2 % np.uint64(SALTS) + np.uint64(1), np.uint64(0)).astype(np.int32)
+        names = [pa.array(np.where(settled, np.uint64(0), x).view(np.int64)) for x in (span, span2)]
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(salt), *names, pa.array(doc), pa.array(tag), pa.array(np.where(settled, -place - 1, place))], ["key", "salt", "span", "span2", "doc", "tag", "place"])
 
-    held, n = [], 0
-    for b in batches:
-        docs = b.column(0).to_numpy(zero_copy_only=False)
-        for first, off, buf in chunks(pc.fill_null(b.column(1), "")):
-            r = runs(off, buf)
-            held.append((r["anchor"], r["span"], docs[first + r["row"]], r["start"] * PACK + r["n"]))
-            n += len(r["row"])
-            if n >= most:
-                yield give(held)
-                held, n = [], 0
-    if n:
-        yield give(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            docs, tags = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for first, off, buf in chunks(pc.fill_null(b.column(2), "")):
+                r = runs(off, buf)
+                held.append((r["anchor"], r["span"], r["span2"], docs[first + r["row"]], tags[first + r["row"]], r["start"] * PACK + r["n"]))
+                n += len(r["row"])
+                if n >= most:
+                    yield give(held)
+                    held, n = [], 0
+        if n:
+            yield give(held)
+
+    return run
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by (key, span, doc, place) to (doc, place, anchor, part): repeats of an earlier run with a null anchor;
-    and, where a bucket holds several names, the first run of each with its anchor, numbered into parts of `runs_held`.
-    Only the last run is carried on."""
-    last: tuple | None = None  # key, span, doc, place of the first run of the name at hand
+    """Runs sorted by (key, salt, span, span2, doc, tag, place) to (doc, tag, place, anchor, part): repeats of an earlier run
+    with a null anchor; and, where a bucket holds several names or is salted, the first run of each with its anchor, numbered
+    into parts of `runs_held`. Only the last run is carried on."""
+    last: tuple | None = None  # the first run of the name at hand, all columns
     alone = False  # that run is all there is of its bucket so far, and hasn't been given
-    numbered, count = 0, 0  # the bucket of the last run given with its anchor, and how many it has given
+    numbered, count = (0, 0), 0  # the bucket of the last run given with its anchor, and how many it has given
     for b in batches:
-        key, span, doc, place = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-        if not len(key):
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if not b.num_rows:
             continue
-        done = place < 0
-        out_doc, out_place, out_anchor = [doc[done]], [-place[done] - 1], [np.zeros(int(done.sum()), np.int64)]
-        real, part = [np.zeros(int(done.sum()), bool)], [np.zeros(int(done.sum()), np.int64)]
-        key, span, doc, place = (x[~done] for x in (key, span, doc, place))
-        if len(key):
+        done = cols[6] < 0
+        none = np.zeros(int(done.sum()), np.int64)
+        out = {"doc": [cols[4][done]], "tag": [cols[5][done]], "place": [-cols[6][done] - 1], "anchor": [none], "part": [none]}
+        real = [none != 0]
+        cols = [x[~done] for x in cols]
+        if len(cols[0]):
             if last is not None:
-                key, span, doc, place = (np.concatenate(([v], x)) for v, x in zip(last, (key, span, doc, place), strict=True))
-            same_key = np.concatenate(([False], key[1:] == key[:-1]))
-            same = same_key & np.concatenate(([False], span[1:] == span[:-1]))
+                cols = [np.concatenate((np.array([v], x.dtype), x)) for v, x in zip(last, cols, strict=True)]
+            key, salt, span, span2, doc, tag, place = cols
+            same_key = np.concatenate(([False], (key[1:] == key[:-1]) & (salt[1:] == salt[:-1])))
+            same = same_key & np.concatenate(([False], (span[1:] == span[:-1]) & (span2[1:] == span2[:-1])))
             first = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-            dup = same & ((doc != doc[first]) | (place != place[first]))
-            head = ~same
-            # A name's first run is ambiguous if its bucket has another name: before it, or after it.
-            heads = np.flatnonzero(head)
-            later = np.append(key[heads[1:]] == key[heads[:-1]], False)
-            unclear = same_key[heads] | later
+            dup = same & ((doc != doc[first]) | (tag != tag[first]) | (place != place[first]))
+            # A name's first run is ambiguous if its bucket has another name: before it, or after it, or in another salt.
+            heads = np.flatnonzero(~same)
+            later = np.append(same_key[heads[1:]], False)
+            unclear = same_key[heads] | later | (salt[heads] > 0)
             given = np.ones(len(heads), bool)
             if last is not None:
                 given[0] = alone  # carried over: given before, unless it was alone
             pick = heads[unclear & given]
-            out_doc += [doc[dup], doc[pick]]
-            out_place += [place[dup], place[pick]]
-            out_anchor += [np.zeros(int(dup.sum()), np.int64), key[pick]]
-            real += [np.zeros(int(dup.sum()), bool), np.ones(len(pick), bool)]
-            begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(pick)), bool), key[pick[1:]] != key[pick[:-1]])))
+            begin = np.flatnonzero(np.concatenate((np.ones(min(1, len(pick)), bool), (key[pick[1:]] != key[pick[:-1]]) | (salt[pick[1:]] != salt[pick[:-1]]))))
             number = np.arange(len(pick)) - np.repeat(begin, np.diff(np.append(begin, len(pick))))
-            number += np.where(key[pick] == numbered, count, 0)
+            number += np.where((key[pick] == numbered[0]) & (salt[pick] == numbered[1]), count, 0)
             if len(pick):
-                numbered, count = key[pick[-1]], int(number[-1]) + 1
-            part += [np.zeros(int(dup.sum()), np.int64), number // runs_held]
+                numbered, count = (key[pick[-1]], salt[pick[-1]]), int(number[-1]) + 1
+            none = np.zeros(int(dup.sum()), np.int64)
+            for c, x in (("doc", doc), ("tag", tag), ("place", place)):
+                out[c] += [x[dup], x[pick]]
+            out["anchor"] += [none, key[pick]]
+            out["part"] += [none, (salt[pick].astype(np.int64) << 32) + number // runs_held]
+            real += [none != 0, np.ones(len(pick), bool)]
             z = heads[-1]
             alone = bool(given[-1] and not unclear[-1])
-            last = (key[z], span[z], doc[z], place[z])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_place)), pa.array(np.concatenate(out_anchor), mask=~np.concatenate(real)), pa.array(np.concatenate(part))], ["doc", "place", "anchor", "part"])
+            last = tuple(x[z] for x in cols)
+        arrays = [pa.array(np.concatenate(out[c]), mask=~np.concatenate(real) if c == "anchor" else None) for c in out]
+        yield pa.RecordBatch.from_arrays(arrays, list(out))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to (doc, compressed text), for the way to its task."""
+    """(doc, tag, text) to (doc, tag, compressed text), for the way to its task."""
     press = zstandard.ZstdCompressor(level=1)
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press.compress(t) if t is not None else None for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary())], ["doc", "packed"])
+        packed = [press.compress(t) if t is not None else None for t in b.column(2).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["doc", "tag", "packed"])
+
+
+CONTEXT = {"anchor": pa.int64(), "part": pa.int64(), "doc": pa.int64(), "tag": pa.int64(), "place": pa.int64(), "bytes": pa.binary()}
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(packed, runs) to the bytes of each run."""
+    """(doc, tag, packed, runs) to the bytes of each run."""
     press = zstandard.ZstdDecompressor()
+
+    def give(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), CONTEXT.values(), strict=True)], list(CONTEXT))
+
     for b in batches:
         rows = []
-        for doc, packed, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        for doc, tag, packed, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
             text = press.decompress(packed) if packed is not None else b""
-            rows += [(r["anchor"], r["part"], doc, r["place"], text[r["place"] // PACK : r["place"] // PACK + r["place"] % PACK + WINDOW - 1]) for r in own]
+            rows += [(r["anchor"], r["part"], doc, tag, r["place"], text[r["place"] // PACK : r["place"] // PACK + r["place"] % PACK + WINDOW - 1]) for r in own]
             if len(rows) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "part", "doc", "place", "bytes"])
+                yield give(rows)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "part", "doc", "place", "bytes"])
+            yield give(rows)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.RecordBatch]:
-    """Runs with their bytes, sorted by (anchor, part, doc, place), to the suffixes that start earlier too in their part, as
-    runs (doc, place) of null name; and, of buckets that have several parts, the first suffix of each name with that name.
-    What is held is whole parts, of at most `runs_held` runs each."""
+    """Runs with their bytes, sorted by (anchor, part, doc, tag, place), to the suffixes that start earlier too in their part,
+    as runs (doc, tag, place) of null name; and, of buckets that have several parts, the first suffix of each name with that
+    name and anchor. What is held is whole parts, of at most `runs_held` runs each."""
 
     def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         all_ = pa.Table.from_batches(held).combine_chunks()
-        anchor, part, doc, place = (all_.column(i).to_numpy() for i in range(4))
-        text = all_.column(4).to_pylist()
+        anchor, part, doc, tag, place = (all_.column(i).to_numpy() for i in range(5))
+        text = all_.column(5).to_pylist()
         new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])))
         size = np.diff(np.append(np.flatnonzero(new), len(new)))
         several = np.repeat((part[new] > 0) | (size >= runs_held), size)  # a full first part may have a second
         n = place % PACK
         whole = np.array([len(t) for t in text]) >= n + WINDOW - 1
-        anchor, part, doc, place, n, several = (x[whole] for x in (anchor, part, doc, place, n, several))
+        anchor, part, doc, tag, place, n, several = (x[whole] for x in (anchor, part, doc, tag, place, n, several))
         text = [t for t, ok in zip(text, whole.tolist(), strict=True) if ok]
+        names = ["doc", "tag", "place", "name", "name2", "anchor"]
         if not len(n):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, ["doc", "place", "name"])
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 6, names)
         buf = np.frombuffer(b"".join(text), np.uint8)
         begin = np.concatenate(([0], np.cumsum([len(t) for t in text])))[:-1].astype(np.int64)
         run = np.repeat(np.arange(len(n)), n)
         inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
         s = begin[run] + inner
-        name = mix(spans(prefix(buf), s, s + WINDOW) ^ mix(anchor.view(np.uint64))[run])
-        wdoc, wpart, start = doc[run], part[run], (place // PACK)[run] + inner
-        order = np.lexsort((start, wdoc, wpart, name))
+        name, name2 = (spans(prefix(buf, t), s, s + WINDOW) for t in (0, 1))
+        wdoc, wtag, start = doc[run], tag[run], (place // PACK)[run] + inner
+        bucket = np.cumsum(np.concatenate(([0], ((anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])).astype(np.int64))))[run]
+        order = np.lexsort((start, wtag, wdoc, name2, name, bucket))
         head = np.ones(len(order), bool)
-        head[1:] = (name[order][1:] != name[order][:-1]) | (wpart[order][1:] != wpart[order][:-1])
+        head[1:] = (name[order][1:] != name[order][:-1]) | (name2[order][1:] != name2[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])
         first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
         d, lead = np.zeros(len(order), bool), np.zeros(len(order), bool)
-        d[order] = (wdoc[order] != wdoc[order][first]) | (start[order] != start[order][first])
-        lead[order] = head
+        differs = np.zeros(len(order), bool)
+        for x in (wdoc, wtag, start):
+            differs |= x[order] != x[order][first]
+        d[order], lead[order] = differs, head
         lead &= several[run]
         edge = np.ones(len(d), bool)
         edge[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
         starts = np.flatnonzero(edge & d)
         ends = np.flatnonzero(np.append(edge[1:], True) & d) + 1
-        known = np.concatenate((np.zeros(len(starts), bool), np.ones(int(lead.sum()), bool)))
-        names = np.concatenate((np.zeros(len(starts), np.int64), name[lead].view(np.int64)))
+        unknown = np.concatenate((np.ones(len(starts), bool), np.zeros(int(lead.sum()), bool)))
         places = np.concatenate((start[starts] * PACK + (ends - starts), start[lead] * PACK + 1))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((wdoc[starts], wdoc[lead]))), pa.array(places), pa.array(names, mask=~known)], ["doc", "place", "name"])
+        known = [np.concatenate((np.zeros(len(starts), np.int64), x[lead].view(np.int64))) for x in (name, name2, anchor[run])]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((wdoc[starts], wdoc[lead]))), pa.array(np.concatenate((wtag[starts], wtag[lead]))), pa.array(places), *[pa.array(x, mask=unknown) for x in known]], names)
 
     held: list[pa.RecordBatch] = []
     for b in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
@@ -209,33 +249,46 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_runs(docs: DataFrame, runs_held: int = RUNS) -> DataFrame:
-    """docs: doc (bigint), text. Returns (doc, place): runs of windows that also start earlier, as start * PACK + windows."""
-    dealt = docs.mapInArrow(_runs, "key bigint, span bigint, doc bigint, place bigint").repartition("key").sortWithinPartitions("key", "span", "doc", "place")
-    found = table(dealt.mapInArrow(lambda b: _resolve(b, runs_held), "doc bigint, place bigint, anchor bigint, part bigint"), "suffix-runs")
-    unclear = found.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("place", "anchor", "part")).alias("runs"))
-    packed = docs.mapInArrow(_pack, "doc bigint, packed binary")
-    texts = packed.join(unclear, "doc").select("doc", "packed", "runs").mapInArrow(_contexts, "anchor bigint, part bigint, doc bigint, place bigint, bytes binary")
-    parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "place")
-    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), "doc bigint, place bigint, name bigint"), "suffix-windows")
+def repeated_runs(docs: DataFrame, runs_held: int = RUNS, hot: np.ndarray | None = None) -> DataFrame:
+    """docs: doc, tag (bigint), text. Returns (doc, tag, place): runs of windows that also start earlier, as start * PACK + windows."""
+    hot = hot_anchors(docs) if hot is None else hot
+    found = docs.mapInArrow(_runs(hot), "key bigint, salt int, span bigint, span2 bigint, doc bigint, tag bigint, place bigint")
+    dealt = found.repartition("key", "salt").sortWithinPartitions("key", "salt", "span", "span2", "doc", "tag", "place")
+    found = table(dealt.mapInArrow(lambda b: _resolve(b, runs_held), "doc bigint, tag bigint, place bigint, anchor bigint, part bigint"), "suffix-runs")
+    # A document's list is of its own runs, fewer bytes than its text.
+    unclear = found.where("anchor is not null").groupBy("doc", "tag").agg(F.collect_list(F.struct("place", "anchor", "part")).alias("runs"))
+    packed = docs.mapInArrow(_pack, "doc bigint, tag bigint, packed binary")
+    texts = packed.join(unclear, ["doc", "tag"]).select("doc", "tag", "packed", "runs").mapInArrow(_contexts, "anchor bigint, part bigint, doc bigint, tag bigint, place bigint, bytes binary")
+    parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "tag", "place")
+    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), "doc bigint, tag bigint, place bigint, name bigint, name2 bigint, anchor bigint"), "suffix-windows")
     # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
-    named = more.where("name is not null")
-    least = named.groupBy("name").agg(F.min(F.struct("doc", "place")).alias("least"))
-    across = attach(named, least, ["name"], "inner").where(F.struct("doc", "place") != F.col("least"))
-    settled = found.where("anchor is null").select("doc", "place").unionByName(more.where("name is null").select("doc", "place"))
-    return settled.unionByName(across.select("doc", "place"))
+    named, name = more.where("name is not null"), ["anchor", "name", "name2"]
+    place = F.struct("doc", "tag", "place")
+    across = attach(named, named.groupBy(*name).agg(F.min(place).alias("least")), name, "inner").where(place != F.col("least"))
+    cols = ["doc", "tag", "place"]
+    settled = found.where("anchor is null").select(cols).unionByName(more.where("name is null").select(cols))
+    return settled.unionByName(across.select(cols))
 
 
-def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", runs_held: int = RUNS) -> DataFrame:
+def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", runs_held: int = RUNS, hot: np.ndarray | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if a WINDOW-byte string over it also starts earlier, in a document of a smaller id or before in the same
     one; strings never cross documents and are judged on the input. A null text is empty; a null id comes after all
-    others. An id names one document: rows that repeat it with its text are treated alike, and none is before the other.
-    Texts shorter than WINDOW bytes stay whole. An empty table gives an empty result.
+    others. Rows that repeat an id with its text are one document that is there twice: treated alike, none before the other.
+    Rows that repeat an id (or null) with another text are documents of their own, in the order of a hash of their texts.
+    Texts shorter than WINDOW bytes stay whole; long ones are worked on in pieces, but a text and its list of places must fit
+    into a task. Other columns are not looked at. An empty table gives an empty result.
     """
     src = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
-    gone = repeated_runs(src, runs_held).groupBy("doc").agg(F.collect_list("place").alias("places"))
-    packed = src.mapInArrow(_pack, "doc bigint, packed binary")
-    out = packed.join(gone, "doc", "left").select("doc", "packed", "places").mapInArrow(_cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    key = row_key(F.col("text"))
+    clash = table(src.groupBy("doc").agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a <> b").select("doc", F.lit(True).alias("clash")), "suffix-clashes")
+    none = F.lit(0).cast("bigint")
+    if clash.isEmpty():
+        src = src.select("doc", none.alias("tag"), "text")
+    else:
+        src = attach(src, clash, ["doc"]).select("doc", F.when(F.col("clash"), key).otherwise(none).alias("tag"), "text")
+    gone = repeated_runs(src, runs_held, hot).groupBy("doc", "tag").agg(F.collect_list("place").alias("places"))
+    packed = src.mapInArrow(_pack, "doc bigint, tag bigint, packed binary")
+    out = packed.join(gone, ["doc", "tag"], "left").select("doc", "packed", "places").mapInArrow(_cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
