@@ -2,7 +2,8 @@
 
 The corpus is cut into equal-token blocks. Targets (weights, with a ceiling per source) are the votes and blocks the
 seats: seats go to the highest quotients votes / (2 seats + 1). The seats of a source are shared out over its shards
-the same way, and each shard then takes its quota of blocks from a seeded order of its documents.
+the same way, and each shard then takes its quota of blocks from a seeded order of its documents. What whole blocks leave
+open of a source's target is settled in words, in part of one more block a shard.
 """
 
 from __future__ import annotations
@@ -75,13 +76,47 @@ def plan_sources(sizes: dict[str | None, int], weights: tuple = WEIGHTS, ceiling
     return [{"source": s, "source_size": sizes[s], "target": t, "shards": min(SHARDS, max(1, math.ceil(sizes[s] / block / SHARD_BLOCKS)))} for s, t in zip(names, target, strict=True)]
 
 
+def settle(words: list[int], seats: list[int], wanted: int, block: int, ceiling: int) -> list[int]:
+    """Words of each shard: those of its seats, and what is open of `wanted` in words, from the first shard on."""
+    quota = [min(k * block, ceiling * n) for k, n in zip(seats, words, strict=True)]
+    rest = wanted - sum(quota)
+    for i, n in enumerate(words):
+        step = max(-quota[i], min(rest, ceiling * n - quota[i]))
+        quota[i], rest = quota[i] + step, rest - step
+    return quota
+
+
+def taken_words(block: int) -> str:
+    """SQL for the words that the mix takes of a document whose shard has `words` words in its seeded order, this one's
+    from `start` to `stop`, and is to give `quota` of them, from a seeded `phase`.
+
+    All words are taken quota div words times. The rest is as many whole blocks as fit, by a systematic sample of the
+    `full` whole blocks of the shard (block j is hit once more if (j picks + phase) div full grows there), and the words left
+    then, from the first block that isn't hit, or from the end if all are. What a document gives is a difference of two sums,
+    so no block needs a row, and a shard gives exactly its quota."""
+    more = "(quota % words)"
+    picks = f"least({more} div {block}, full)"
+    rest = f"({more} - {block} * {picks})"
+    begin = f"CASE WHEN {picks} = full THEN full * {block} ELSE {block} * ((phase % greatest(full, 1)) div (full - {picks})) END"
+
+    def upto(word: str) -> str:
+        j = f"least({word} div {block}, full)"
+        hits = lambda x: f"CASE WHEN full = 0 THEN 0L ELSE (({x}) * {picks} + phase % full) div full END"
+        inside = f"least({word} - {block} * {j}, {block})"
+        sample = f"{block} * ({hits(j)}) + CASE WHEN {j} = full THEN 0L ELSE (({hits(j + ' + 1')}) - ({hits(j)})) * {inside} END"
+        return f"({sample} + greatest(0L, least({word} - ({begin}), {rest})))"
+
+    return f"(quota div words) * size + {upto('stop')} - {upto('start')}"
+
+
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weights: tuple = WEIGHTS, ceiling: int = CEILING, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """One row per row of docs: doc_id, size, source, source_size, target, taken.
 
-    size counts words (null text: 0). taken counts the words that the mix takes from the row, repeats included: never
-    above ceiling * size. A null source is a source of its own and comes last. Rows that repeat an id are taken one by
-    one. Sources without words get target 0; so does an empty table's every source. What goes to the driver is one row
-    per source and per shard, never per document.
+    size counts words (null text: 0), of whole texts whatever their length. taken counts the words that the mix takes from
+    the row, repeats included: never above ceiling * size. A source's taken words are its target, rounded. A null source is
+    a source of its own and comes last. Rows that repeat an id are taken one by one. Sources without words get target 0; so
+    does an empty table's every source. Other columns are not looked at, so their names can't clash. What goes to the driver
+    is one row per source and per shard (SHARDS of a source at most), never per document.
     """
     spark = docs.sparkSession
     sized = table(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")), "mix-sizes")
@@ -95,31 +130,23 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     shards: dict = {}
     for r in dealt.groupBy("source", "shard").agg(F.sum("size").alias("n")).where("n > 0").collect():
         shards.setdefault(r["source"], []).append((r["shard"], int(r["n"])))
-    cut = {s: sorted((i, n, -(-n // block)) for i, n in own) for s, own in shards.items()}
-    cells = [sum(b for _, _, b in cut.get(p["source"], [])) for p in plan]
-    seats = sainte_lague([p["target"] for p in plan], round(sum(sizes.values()) / block), [int(ceiling) * c for c in cells])
+    cut = {s: sorted(own) for s, own in shards.items()}
+    cells = [sum(ceiling * n // block for _, n in cut.get(p["source"], [])) for p in plan]
+    seats = sainte_lague([p["target"] for p in plan], round(sum(sizes.values()) / block), [int(c) for c in cells])
     quotas = []
     for p, q in zip(plan, seats, strict=True):
         own = cut.get(p["source"], [])
-        each = sainte_lague([float(n) for _, n, _ in own], q, [int(ceiling) * b for _, _, b in own]) if own else []
-        quotas += [(p["source"], i, b, k) for (i, _, b), k in zip(own, each, strict=True)]
-    quota = spark.createDataFrame(quotas, "source string, shard int, blocks bigint, quota bigint")
+        words = [n for _, n in own]
+        each = sainte_lague([float(n) for n in words], q, [int(ceiling) * n // block for n in words]) if own else []
+        wanted = settle(words, each, round(p["target"]), block, int(ceiling))
+        quotas += [(p["source"], i, n, k) for (i, n), k in zip(own, wanted, strict=True)]
+    quota = spark.createDataFrame(quotas, "source string, shard int, words bigint, quota bigint")
     order = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size")
     stop = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     rows = dealt.where("size > 0").withColumn("stop", stop).withColumn("start", F.col("stop") - F.col("size"))
-    rows = attach(rows, quota, ["source", "shard"]).withColumn("phase", F.pmod(F.xxhash64(F.lit(seed), "source", "shard"), F.col("blocks")))
-    # Block j of a shard is its words from block * j on, in the seeded order. Each is taken quota div blocks times, and
-    # the blocks that a seeded systematic sample of size quota % blocks hits once more: hits before block j are
-    # (j r + phase) div blocks, so what a document gives is a difference of two sums and no block needs a row.
-    hits = "(({j}) * (quota % blocks) + phase) div blocks"
-
-    def upto(word: str) -> str:
-        j = f"({word} div {block})"
-        h, more = hits.format(j=j), hits.format(j=f"{j} + 1")
-        return f"({block} * ({h}) + (({more}) - ({h})) * ({word} - {block} * {j}))"
-
-    taken = F.expr(f"(quota div blocks) * size + {upto('stop')} - {upto('start')}")
-    rows = rows.withColumn("taken", taken.cast("bigint"))
+    rows = attach(rows, quota, ["source", "shard"]).withColumn("full", F.expr(f"words div {block}"))
+    rows = rows.withColumn("phase", F.pmod(F.xxhash64(F.lit(seed), "source", "shard"), F.greatest("full", F.lit(1).cast("bigint"))))
+    rows = rows.withColumn("taken", F.expr(taken_words(block)).cast("bigint"))
     empty = dealt.where("size = 0").withColumn("taken", F.lit(0).cast("bigint"))
     cols = ["doc_id", "size", "source", "source_size", "target", "taken"]
     return rows.select(cols).unionByName(empty.select(cols))
