@@ -13,16 +13,17 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks_for, lean
+from .common import blocks_for, lean, open_fs, shared_path
 
 #: Edits as a share of an item's length; items of fewer characters are matched exactly, as whole words.
 RATE, ITEM = 0.1, 24
-#: Bytes of items in one automaton; more items are matched block by block.
-BLOCK_BYTES = 4 << 20
+#: Bytes of items in one automaton, and bytes of texts that a task holds while it goes from automaton to automaton.
+BLOCK_BYTES, HELD_BYTES = 4 << 20, 32 << 20
 HITS = "array<struct<item_id:bigint,edits:int,stop:int>>"
 _WORD = re.compile(r"[^\W_]+")
 
@@ -179,52 +180,85 @@ class Matcher:
         return sorted(found, key=lambda h: (h["item_id"] is None, h["item_id"]))
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int | None, str]]]:
-    """The test items, in blocks of bounded bytes. Only one block at a time is with the driver."""
-    items = benchmark.select(F.col(item_id).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = blocks_for(int(total), BLOCK_BYTES)
-    for b in range(n):
-        yield [(r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("t"), F.lit(n)) == b).collect()]
-
-
-def _pass(items: list[tuple[int | None, str]], keep_text: bool):
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("stop", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items)
-        for b in batches:
-            ids, texts, before = b.columns
-            hits = [x + matcher.find(t.as_py()) for t, x in zip(texts, before.to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, texts if keep_text else pa.nulls(len(ids), pa.string()), pa.array(hits, kind)], ["doc_id", "text", "hits"])
-
-    return run
+def write_items(benchmark: DataFrame, item_id: str, text: str) -> tuple[str, int]:
+    """Writes the test items into the shared folder, in blocks of bounded bytes; returns the folder and the number of blocks.
+    Only their total is with the driver."""
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    n = blocks_for(int(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0), BLOCK_BYTES)
+    folder = shared_path(benchmark.sparkSession, "benchmark-items")
+    blocks = items.withColumn("block", F.pmod(F.xxhash64("t"), F.lit(n)).cast("int"))
+    blocks.repartition(min(n, 1024), "block").write.partitionBy("block").parquet(folder)
+    return folder, n
+
+
+_LOADED: dict[tuple[str, int], Matcher] = {}
+
+
+def matcher_of(folder: str, block: int) -> Matcher:
+    """The matcher of a block of items; a worker holds one at a time, and keeps it for its next task."""
+    if (folder, block) not in _LOADED:
+        _LOADED.clear()
+        fs, root = open_fs(folder)
+        files = fs.get_file_info(pafs.FileSelector(f"{root}/block={block}", allow_not_found=True))
+        rows = [pq.read_table(f.path, filesystem=fs, columns=["i", "t"], partitioning=None) for f in files if f.path.endswith(".parquet")]
+        items = [(i, t) for r in rows for i, t in zip(r.column("i").to_pylist(), r.column("t").to_pylist(), strict=True)]
+        _LOADED[folder, block] = Matcher(sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+    return _LOADED[folder, block]
+
+
+def matched(batches: Iterator[pa.RecordBatch], column: str, folder: str, n: int) -> Iterator[tuple[pa.RecordBatch, list[list[dict]]]]:
+    """Batches with the hits of each row. With several blocks of items, batches are held up to HELD_BYTES and each block is
+    loaded once for all of them, so that a text goes through Python once however many blocks there are."""
+
+    def search(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[dict]]]]:
+        hits: list[list[list[dict]]] = [[[] for _ in range(b.num_rows)] for b in held]
+        for block in range(n):
+            find = matcher_of(folder, block).find
+            for b, own in zip(held, hits, strict=True):
+                for row, t in zip(own, b.column(b.schema.get_field_index(column)), strict=True):
+                    row.extend(find(t.as_py()))
+        yield from zip(held, hits, strict=True)
+
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if n == 1 or size >= HELD_BYTES:
+            yield from search(held)
+            held, size = [], 0
+    if held:
+        yield from search(held)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row per row of docs: doc_id, contaminated, n_items, item_ids, hits (item, edits, end in the normalised text).
 
-    A null or empty text is never contaminated. Items shorter than ITEM normalised characters are
-    found as they are, on word bounds; those without a letter or digit are not searched; equal items are each reported. Rows that repeat give equal results; empty tables give empty results or no
-    hits. Texts are searched whole.
+    An item is found where a stretch of a text is within int(RATE * its length) edits of it, both normalised to words of
+    letters and digits in lower case; every item has this budget, none is left out for its length. Items shorter than ITEM
+    normalised characters are found as they are (no edit), on word bounds; those without a letter or digit have nothing to
+    be searched for. Equal items are each reported. A null or empty text is never contaminated. Rows that repeat give equal results;
+    empty tables give empty results or no hits. Texts are searched whole; a text must fit into a task. Other columns are not
+    looked at, so their names can't clash.
     """
-    out = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.array().cast(HITS).alias("hits"))
-    parts = list(item_blocks(benchmark, item_id, item_text))
-    for i, items in enumerate(parts):
-        out = out.mapInArrow(lean(_pass(items, i + 1 < len(parts))), f"doc_id bigint, text string, hits {HITS}")
+    folder, n = write_items(benchmark, item_id, item_text)
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("stop", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, hits in matched(batches, "text", folder, n):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, kind)], ["doc_id", "hits"])
+
+    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    out = src.mapInArrow(lean(run), f"doc_id bigint, hits {HITS}")
     ids = F.transform("hits", lambda h: h["item_id"])
     return out.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("bigint").alias("n_items"), ids.alias("item_ids"), "hits")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """docs without the contaminated rows; all columns stay, whatever their names, and no row moves to another task."""
-    for items in item_blocks(benchmark, item_id, item_text):
+    folder, n = write_items(benchmark, item_id, item_text)
 
-        def run(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items)
-            for b in batches:
-                found = [bool(matcher.find(t.as_py())) for t in b.column(b.schema.get_field_index(text))]
-                yield b.filter(pc.invert(pa.array(found, pa.bool_())))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, hits in matched(batches, text, folder, n):
+            yield b.filter(pa.array([not h for h in hits], pa.bool_()))
 
-        docs = docs.mapInArrow(lean(run), docs.schema)
-    return docs
+    return docs.mapInArrow(lean(run), docs.schema)

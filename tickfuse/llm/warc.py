@@ -19,7 +19,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, shared_path, table
+from .common import attach, open_fs, shared_path, table
 
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 100
@@ -31,13 +31,6 @@ INDEX = "record_id string, file string, offset bigint, length bigint, url string
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """A file system that Python can use for a path as Spark writes it."""
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def record(record_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
     """The bytes of one record, before compression. A revisit has HTTP headers but no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -186,21 +179,28 @@ def _reader(folder: str):
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records that index selects: record_id, record_type, refers_to, payload_digest, payload (null for revisits).
-    Records that lie near each other in an archive go to one task and are fetched by one read."""
-    places = index.select("file", "offset", "length").withColumn("near", F.expr(f"offset div {16 * RANGE}"))
-    dealt = places.repartition("file", "near").sortWithinPartitions("file", "offset").select("file", "offset", "length")
+    Records that lie near each other in an archive go to one task and are fetched by few reads; the number of tasks follows
+    from the bytes to be read, as the index itself is too small to tell."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    places = index.select("file", "offset", "length").withColumn("near", F.expr(f"offset div {RANGE}"))
+    dealt = places.repartition(max(1, -(-int(total) // RANGE)), "file", "near").sortWithinPartitions("file", "offset").select("file", "offset", "length")
     return dealt.mapInArrow(_reader(folder), "record_id string, record_type string, refers_to string, payload_digest string, payload binary")
 
 
 def assign_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = REVISIT_BYTES) -> DataFrame:
-    """Records for write_archives: of equal payloads of at least `least` bytes, that with the smallest id is kept."""
+    """Records for write_archives: of equal payloads of at least `least` bytes, that with the smallest id is kept. A record's
+    name has its id and a hash of its URL and payload, so that rows which repeat an id have records of their own."""
     rows = pages.select(F.col(page_id).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    again = rows.where(F.length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").select("digest", "first")
+    rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("tag", F.lower(F.hex(F.xxhash64("url", "digest"))))
+    # Only digests move here. The table of repeated ones is written first, so that its size is known: payloads stay in place
+    # if it is small enough to be broadcast, and meet it by digest if not.
+    first = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "tag")))
+    again = rows.where(F.length("payload") >= least).groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
+    again = table(again.select("digest", F.col("first.page_id").alias("first"), F.concat(F.lit("urn:page:"), F.col("first.page_id").cast("string"), F.lit(":"), F.col("first.tag")).alias("origin")), "warc-repeated")
     rows = attach(rows, again, ["digest"])
     other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")))
-    return rows.select(name.alias("record_id"), "url", "payload", "digest", F.when(other, F.concat(F.lit("urn:page:"), F.col("first").cast("string"))).alias("refers_to"))
+    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(":"), F.col("tag"))
+    return rows.select(name.alias("record_id"), "url", "payload", "digest", F.when(other, F.col("origin")).alias("refers_to"))
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -208,7 +208,8 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     payload_bytes, payload_digest, record_type, refers_to.
 
     A null html is an empty payload, a null url an empty target, a null id a record named "none" that is never referred
-    to. Rows that repeat an id and its payload are all responses. An empty table gives no archive and an empty result.
+    to. Rows that repeat an id and its payload are all responses; rows alike in URL too share a record name. A payload must
+    fit into a task, as must a record. Other columns are not looked at. An empty table gives no archive and an empty result.
     """
     spark = pages.sparkSession
     folder = shared_path(spark, "warc")
@@ -218,5 +219,5 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     responses = back.where("record_type = 'response'").select("payload_digest", F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("__bytes"))
     sizes = responses.join(back.where("record_type = 'revisit'").select("refers_to").distinct(), "refers_to", "left_semi").distinct()
     full = attach(back, sizes, ["refers_to", "payload_digest"])
-    number = lambda c: F.expr(f"try_cast(substr({c}, 10) as bigint)")
+    number = lambda c: F.expr(f"try_cast(split_part({c}, ':', 3) as bigint)")
     return full.select(number("record_id").alias("page_id"), F.coalesce("payload_bytes", "__bytes").alias("payload_bytes"), "payload_digest", "record_type", number("refers_to").alias("refers_to"))
