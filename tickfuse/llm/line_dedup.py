@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, attach, free, table
 
-#: A line in more than this share of a host's pages, and in at least so many pages, is boilerplate.
-RATIO, PAGES = 0.02, 5
+#: A line in more than this share of a host's pages is boilerplate, if it is in more than one of them.
+RATIO, PAGES = 0.02, 2
 
 
 def trimmed(line: Column) -> Column:
@@ -35,6 +35,11 @@ def line_key(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k1"), F.xxhash64(line, F.lit(7)).alias("k2")]
 
 
+def as_text(k1: Column, k2: Column) -> Column:
+    """A line's key as a string, which Spark's set functions hash."""
+    return F.concat(F.hex(k1), F.lit("-"), F.hex(k2))
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits for the sequence of words in lower case: what near_dup takes for a copy has the same."""
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"[{SPACE}]+", " "))
@@ -46,7 +51,8 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     n_lines, n_dropped, host_pages.
 
     Lines are compared without white space at their ends; blank lines are never counted nor dropped. A null text stays
-    null and has no line; a null host is a host of its own. host_pages counts rows, so a page that is there twice counts
+    null and has no line; a null host is a host of its own, and so is the empty one (URLs without a host). A text is split
+    whole, and must fit into a task. host_pages counts rows, so a page that is there twice counts
     twice. With by_text a line counts once a distinct text of its host, and its share is that of the host's distinct
     texts: rows of equal words count as one, while host_pages still counts rows. Equal rows are treated alike. An empty
     table stays empty.
@@ -66,14 +72,16 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     counts = each.groupBy("__h", "k1", "k2").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") >= least)
     common = attach(counts, base, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__n")).select("__h", "k1", "k2")
     # How many there are is bounded by the pages: at most 1 / ratio lines a page could each be in so many of them.
-    per_host = common.groupBy("__h").agg(F.collect_set(F.struct("k1", "k2")).alias("__common"))
+    per_host = common.groupBy("__h").agg(F.collect_set(as_text(F.col("k1"), F.col("k2"))).alias("__common"))
     # One row a host, written first: its size is known then, and only a small one is broadcast; pages stay where they are.
     sites = table(attach(hosts, per_host, ["__h"]), "line-sites")
     out = attach(src, sites, ["__h"])
-    bad = F.coalesce("__common", F.array().cast("array<struct<k1:bigint,k2:bigint>>"))
-    # Each step is a projection of its own, so that a line is trimmed and hashed once.
+    # Each step is a projection of its own, so that a line is trimmed and hashed once. The page's boilerplate is an
+    # intersection of sets, which hashes; what a line is looked up in then is no longer than the page.
     out = out.withColumn("__lines", F.transform(F.split("__text", "\n"), lambda s: F.struct(s.alias("raw"), trimmed(s).alias("bare"))))
-    out = out.withColumn("__kept", F.filter("__lines", lambda s: (s["bare"] == "") | ~F.array_contains(bad, F.struct(*line_key(s["bare"])))))
+    keys = F.transform("__lines", lambda s: F.when(s["bare"] != "", as_text(*line_key(s["bare"]))))
+    out = out.withColumn("__keys", keys).withColumn("__bad", F.coalesce(F.array_intersect("__keys", "__common"), F.array().cast("array<string>")))
+    out = out.withColumn("__kept", F.transform(F.filter(F.arrays_zip("__lines", "__keys"), lambda s: s["__keys"].isNull() | ~F.array_contains(F.col("__bad"), s["__keys"])), lambda s: s["__lines"]))
     real = lambda c: F.when(F.col("__text").isNull(), F.lit(0)).otherwise(F.size(F.filter(c, lambda s: s["bare"] != ""))).cast("bigint")
     out = out.withColumns({"__n_lines": real("__lines"), "__n_kept": real("__kept")})
     new = F.when(F.col("__text").isNotNull(), F.array_join(F.transform("__kept", lambda s: s["raw"]), "\n"))
