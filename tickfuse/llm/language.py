@@ -3,6 +3,9 @@
 Character 4-grams are counted over all texts that may be learnt from, with partial counts per task. A language's model
 keeps sorted arrays of packed n-grams for each order; a text goes to the language of the lowest cross-entropy per
 character, and is rejected where even that is above what the language's own texts show, all of those learnt from.
+
+Models of up to MODEL_GRAMS n-grams are broadcast. Beyond that they stay tables, dealt by n-gram, and the n-grams of the texts
+are joined to them (Tables); both ways give the same figures.
 """
 
 from __future__ import annotations
@@ -15,13 +18,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import attach, held_out, lean, row_key, table
 
 #: The share of a language's own texts below its threshold, and what is added to it, in nats.
 SHARE, MARGIN = 0.995, 0.15
 #: Sharpness of the score in the difference of cross-entropies.
 SHARP = 12.0
 CHUNK = 1 << 20
+#: N-grams, of all languages together, whose models are broadcast (some 50 bytes each, and 4 for each language).
+MODEL_GRAMS = 4 << 20
 _EDGE = 0xFFFF
 _LETTER = np.array([chr(i).isalpha() for i in range(_EDGE)] + [False])
 
@@ -169,26 +174,96 @@ class Identifier:
         return [self.langs[i] for i in best], np.nan_to_num(np.clip(score, 0, 1)), ~(low <= self.limit[best])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Identifier:
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(i, k, text) to (i, k, gram, n)."""
+    for b in batches:
+        for first, some in parts(pc.fill_null(b.column(2), "").to_pylist()):
+            keys, rows = grams(some)
+            order = np.lexsort((keys, rows))
+            keys, rows = keys[order], rows[order]
+            at = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])))) if len(keys) else np.zeros(0, np.int64)
+            n, row = np.diff(np.append(at, len(keys))), pa.array(first + rows[at])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(keys[at].view(np.int64)), pa.array(n)], ["i", "k", "gram", "n"])
+
+
+class Tables:
+    """The models as tables: for each order the shares of its n-grams and what its contexts leave, as a map from language to
+    value for each n-gram. The driver has the languages and a few figures of each."""
+
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        """counts: lang, gram, n, written."""
+        self.langs, self.limit, self.orders = langs, np.full(len(langs), np.inf), {}
+        low = lambda order: F.col("gram") if order == 4 else F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1))
+        self.base = 1.0 / (counts.select(low(1).alias("s")).distinct().count() + 1)
+        now = counts.select("lang", "gram", F.col("n").cast("double").alias("c"))
+        for order in (4, 3, 2, 1):
+            rare = now.groupBy("lang").agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"))
+            rare = rare.select("lang", F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2.0 * F.col("n2"))).otherwise(F.lit(0.5)).alias("d"))
+            ctx = F.shiftrightunsigned("gram", 16)
+            total = now.groupBy("lang", ctx.alias("ctx")).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+            share = attach(attach(now.withColumn("ctx", ctx), total, ["lang", "ctx"], "inner"), rare, ["lang"], "inner").select("lang", "gram", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("v"))
+            rest = attach(total, rare, ["lang"], "inner").select("lang", F.col("ctx").alias("gram"), (F.col("d") * F.col("kinds") / F.col("total")).alias("v"))
+            pack = lambda df: df.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "v"))).alias("m"))  # noqa: E731  at most one entry a language
+            self.orders[order] = (table(pack(share), f"language-shares-{order}"), table(pack(rest), f"language-contexts-{order}"))
+            if order > 1:
+                now = table(now.select("lang", low(order - 1).alias("gram")).groupBy("lang", "gram").agg(F.count(F.lit(1)).cast("double").alias("c")), f"language-counts-{order - 1}")
+
+    def entropies(self, docs: DataFrame) -> DataFrame:
+        """docs: i, k, text. Returns i, k, h: an array of the cross-entropy per symbol by language; rows of equal i and k are one."""
+        own = table(docs.mapInArrow(lean(_grams), "i bigint, k bigint, gram bigint, n bigint"), "language-text-grams")
+        names = F.array(*[F.lit(x) for x in self.langs])
+        p = own.select("gram").distinct().withColumn("p", F.array_repeat(F.lit(self.base), len(self.langs)))
+        for order in (1, 2, 3, 4):
+            key = F.col("gram") if order == 4 else F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1))
+            shares, contexts = self.orders[order]
+            p = attach(p.withColumn("key", key), shares.select(F.col("gram").alias("key"), F.col("m").alias("share")), ["key"])
+            p = p.withColumn("key", F.shiftrightunsigned("key", 16))
+            left = contexts.select(F.col("gram").alias("key"), F.col("m").alias("rest"))
+            p = attach(p, F.broadcast(left) if order == 1 else left, ["key"])  # the only context of order 1 is the empty one
+            both = F.zip_with(names, "p", lambda x, q: F.coalesce(F.element_at("share", x), F.lit(0.0)) + F.coalesce(F.element_at("rest", x), F.lit(1.0)) * q)
+            p = p.select("gram", both.alias("p"))
+        logs = table(p.select("gram", F.transform("p", F.ln).alias("logs")), "language-logs")
+        joined = attach(own, logs, ["gram"], "inner")
+        sums = joined.groupBy("i", "k").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col("logs")[j]).alias(f"s{j}") for j in range(len(self.langs))])
+        return sums.select("i", "k", F.array(*[-F.col(f"s{j}") / F.col("n") for j in range(len(self.langs))]).alias("h"))
+
+    def identify(self, docs: DataFrame) -> DataFrame:
+        """docs: i, k, text. Returns i, k, lang_pred, score, rejected."""
+        h = self.entropies(docs).withColumn("low", F.array_min("h")).withColumn("at", F.array_position("h", F.col("low")).cast("int"))
+        limit = F.element_at(F.array(*[F.lit(float(x)) for x in self.limit]), F.col("at"))
+        total = F.aggregate("h", F.lit(0.0), lambda acc, x: acc + F.exp(-SHARP * (x - F.col("low"))))
+        score = F.exp(-2 * F.greatest(F.lit(0.0), F.col("low") - limit)) / total
+        return h.select("i", "k", F.element_at(F.array(*[F.lit(x) for x in self.langs]), F.col("at")).alias("lang_pred"), score.alias("score"), (F.col("low") > limit).alias("rejected"))
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", model_grams: int = MODEL_GRAMS) -> Identifier | Tables:
     """Learns from the texts and languages of all rows that aren't held out. Rows without text or language teach
     nothing; without any row the identifier knows no language. All 4-grams are kept, rare ones too, so that discounts and
-    continuation counts are those of all texts; the driver and each worker hold the models whole."""
-    src = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col(doc_id).alias("i"))
+    continuation counts are those of all texts. The driver and each worker hold the models whole if they have `model_grams`
+    n-grams at most; else they stay tables."""
+    src = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col(doc_id).cast("bigint").alias("i"))
     train = src.where(~held_out(F.col("i")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = train.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.persist()
-    try:
-        langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-        tables = []
-        for name in langs:  # a language at a time is on its way to the driver
-            own = counts.where(F.col("lang") == name).select("gram", "n").toArrow()
-            k, n = own.column("gram").to_numpy().view(np.uint64), own.column("n").to_numpy()
-            order = np.argsort(k)
-            tables.append((k[order], n[order]))
-    finally:
-        counts.unpersist()
+    counts = train.select("lang", "text").mapInArrow(lean(_count), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = table(counts, "language-counts")
+    sizes = {r["lang"]: r["m"] for r in counts.groupBy("lang").agg(F.count(F.lit(1)).alias("m")).collect()}
+    langs = sorted(sizes)
     if not langs:
         return Identifier([], [])
+    if sum(sizes.values()) > model_grams:
+        out = Tables(counts, langs)
+        rows = train.select("i", row_key(F.col("text")).alias("k"), "lang", "text")
+        place = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int")
+        h = attach(rows.select("i", "k", place.alias("at")), out.entropies(rows.select("i", "k", "text")), ["i", "k"], "inner")
+        limits = h.groupBy("at").agg(F.percentile_approx(F.element_at("h", F.col("at")), SHARE, 1000).alias("h")).collect()
+        for r in limits:
+            out.limit[r["at"] - 1] = r["h"] + MARGIN
+        return out
+    tables = []
+    for name in langs:  # a language at a time is on its way to the driver
+        own = counts.where(F.col("lang") == name).select("gram", "n").toArrow()
+        k, n = own.column("gram").to_numpy().view(np.uint64), own.column("n").to_numpy()
+        order = np.argsort(k)
+        tables.append((k[order], n[order]))
     alphabet = len(np.unique(np.concatenate([np.unique(k & np.uint64(0xFFFF)) for k, _ in tables]))) + 1
     models = [KneserNey(k, n, alphabet) for k, n in tables]
     out = Identifier(langs, models)
@@ -200,18 +275,27 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
             h = h[np.arange(len(h)), [where[x] for x in b.column(0).to_pylist()]]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h)], ["lang", "h"])
 
-    limits = train.select("lang", "text").mapInArrow(own_entropy, "lang string, h double").groupBy("lang").agg(F.percentile_approx("h", SHARE, 1000).alias("h")).collect()
+    limits = train.select("lang", "text").mapInArrow(lean(own_entropy), "lang string, h double").groupBy("lang").agg(F.percentile_approx("h", SHARE, 1000).alias("h")).collect()
     for r in limits:
         out.limit[langs.index(r["lang"])] = r["h"] + MARGIN
     return out
 
 
-def identify(docs: DataFrame, identifier: Identifier, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, identifier: Identifier | Tables, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score, rejected. Only the text enters a prediction.
 
     A text that is null or has no letter is "und" with score 0; so is every text if no language is known. A rejected
-    text still names its nearest language, with a score that falls with the distance. Rows that repeat agree.
+    text still names its nearest language, with a score that falls with the distance; ties go to the smaller name. Rows
+    that repeat agree. Texts are read whole, in pieces of bounded length where they are many; one text must fit into a task.
+    Other columns are not looked at, so their names can't clash. An empty table gives an empty result.
     """
+    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    if isinstance(identifier, Tables):
+        rows = src.select(F.col("doc_id").alias("i"), row_key(F.col("text")).alias("k"), "text")
+        found = attach(rows.select("i", "k"), identifier.identify(rows.where(lettered)), ["i", "k"])
+        out = found.select(F.col("i").alias("doc_id"), F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("rejected", F.lit(True)).alias("rejected"))
+        return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
     sent = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +310,5 @@ def identify(docs: DataFrame, identifier: Identifier, text: str = "text", doc_id
                 score[at], off[at] = s, r
             yield pa.RecordBatch.from_arrays([ids, pa.array(lang), pa.array(score), pa.array(off)], ["doc_id", "lang_pred", "score", "rejected"])
 
-    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = src.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    out = rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double, rejected boolean")
+    out = src.select("doc_id", "text", lettered.alias("lettered")).mapInArrow(lean(run), "doc_id bigint, lang_pred string, score double, rejected boolean")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
