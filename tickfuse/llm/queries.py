@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language, license_scan, line_dedup, mixing, near_dup, quality, suffix_dedup, warc
+from . import decontamination, exact_dedup, language, license_scan, license_sql, line_dedup, mixing, near_dup, quality, suffix_dedup, warc
 from .common import read, read_or_empty
 
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -50,7 +50,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("text"))
-    return line_dedup.drop_boilerplate(pages, "page_id", "host", "text")
+    return line_dedup.drop_boilerplate(pages, "page_id", "host", "text", by_text=True)
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,10 +84,11 @@ SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id IS NOT DISTINCT
 OP9_SQL = rf"""
 WITH t AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
            regexp_replace(regexp_replace(html, '(?is)<(script|style)\b[^>]*>.*?</(script|style)>|<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g') AS text FROM pages),
-l AS (SELECT page_id, host, text, list_transform(string_split(text, chr(10)), lambda s: struct_pack(raw := s, bare := regexp_replace(s, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'))) AS lines FROM t),
-h AS (SELECT host, count(*) AS n FROM t GROUP BY host),
-e AS (SELECT host, unnest(list_distinct(list_transform(lines, lambda s: s.bare))) AS bare FROM l),
-c AS (SELECT e.host, bare FROM e JOIN h ON e.host IS NOT DISTINCT FROM h.host WHERE bare <> '' GROUP BY e.host, bare, n HAVING count(*) >= {line_dedup.PAGES} AND count(*) > {line_dedup.RATIO}::DOUBLE * n),
+u AS (SELECT *, md5(trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'))) AS same FROM t),
+l AS (SELECT page_id, host, same, text, list_transform(string_split(text, chr(10)), lambda s: struct_pack(raw := s, bare := regexp_replace(s, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'))) AS lines FROM u),
+h AS (SELECT host, count(*) AS n, count(DISTINCT same) AS texts FROM u GROUP BY host),
+e AS (SELECT host, same, unnest(list_distinct(list_transform(lines, lambda s: s.bare))) AS bare FROM l),
+c AS (SELECT e.host, bare FROM e JOIN h ON e.host IS NOT DISTINCT FROM h.host WHERE bare <> '' GROUP BY e.host, bare, texts HAVING count(DISTINCT same) >= {line_dedup.PAGES} AND count(DISTINCT same) > {line_dedup.RATIO}::DOUBLE * texts),
 b AS (SELECT host, list(bare) AS bad FROM c GROUP BY host),
 k AS (SELECT l.*, h.n, list_filter(lines, lambda s: s.bare = '' OR NOT list_contains(coalesce(bad, []), s.bare)) AS kept FROM l JOIN h ON l.host IS NOT DISTINCT FROM h.host LEFT JOIN b ON l.host IS NOT DISTINCT FROM b.host)
 SELECT page_id, host, array_to_string(list_transform(kept, lambda s: s.raw), chr(10)) AS text,
@@ -96,4 +97,4 @@ SELECT page_id, host, array_to_string(list_transform(kept, lambda s: s.raw), chr
        n::BIGINT AS host_pages
 FROM k"""
 
-ORACLES = {"op1_warc": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_license_scan": license_scan.scan_sql()}
+ORACLES = {"op1_warc": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_license_scan": license_sql.scan_sql()}
