@@ -104,15 +104,19 @@ class Model:
         return out
 
     def score(self, column: pa.Array) -> np.ndarray:
-        """The share of label 1 among the nearest neighbours, by similarity; 0 for a text without words."""
+        """The share of label 1 among the nearest neighbours, by similarity; 0 for an empty text. Neighbours that tie for the last
+        places share them, so that their order plays no part."""
         z = self.latent(column)
         norm = np.sqrt((z * z).sum(1))
         z, k, out = self.unit(z), min(NEIGHBOURS, len(self.labels)), np.zeros(len(z))
         for a in range(0, len(z), ROWS):
             sims = z[a : a + ROWS] @ self.vectors.T
-            top = np.argpartition(sims, len(self.labels) - k, axis=1)[:, len(self.labels) - k :]
-            w = np.maximum(np.take_along_axis(sims, top, 1), 1e-6).astype(np.float64)
-            out[a : a + ROWS] = (w * self.labels[top]).sum(1) / w.sum(1)
+            least = np.partition(sims, len(self.labels) - k, axis=1)[:, len(self.labels) - k, None]
+            near, tied = sims > least, sims == least
+            # All that tie for the last places share those.
+            w = near + tied * ((k - near.sum(1)) / tied.sum(1))[:, None].astype(np.float32)
+            w *= np.maximum(sims, 1e-6)
+            out[a : a + ROWS] = (w @ self.labels) / w.sum(1)
         return np.where(norm > 0, np.clip(out, 0, 1), 0.0)
 
 
@@ -127,36 +131,42 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model | None:
     """Fits on at most `sample` labelled rows, those of the smallest id hashes among rows that aren't held out. Null
-    labels don't count; without any labelled row there is no model. The driver gets the sample's term counts only."""
-    lab = labels.select(F.col(doc_id).alias("i"), (F.col(label) == 1).cast("int").alias("y")).where(~held_out(F.col("i")) & F.col("y").isNotNull() & F.col("i").isNotNull())
-    known = docs.select(F.col(doc_id).alias("i")).join(lab, "i").distinct()
+    labels and ids don't count; without any labelled row there is no model. Of an id that recurs the smallest text is learnt,
+    and each of its labels. The driver gets the sample's term counts only."""
+    lab = labels.select(F.col(doc_id).cast("bigint").alias("i"), (F.col(label) == 1).cast("int").alias("y")).where(~held_out(F.col("i")) & F.col("y").isNotNull() & F.col("i").isNotNull())
+    own = docs.select(F.col(doc_id).cast("bigint").alias("i"), F.col(text).cast("string").alias("text"))
+    known = own.select("i").join(lab, "i").distinct()
     picked = known.orderBy(F.xxhash64("i"), "i", "y").limit(sample).collect()
     if not picked:
         return None
     chosen = docs.sparkSession.createDataFrame([(r["i"], r["y"]) for r in picked], "i bigint, y int")
-    rows = docs.join(F.broadcast(chosen), docs[doc_id] == chosen["i"]).select(F.col(text).cast("string"), "i", "y")
-    got = rows.select(text, "y").mapInArrow(lean(_features), "label int, buckets binary, times binary, dense binary").limit(4 * sample).collect()
-    got.sort(key=lambda r: (bytes(r["dense"]), bytes(r["buckets"]), r["label"]))
+    rows = own.join(F.broadcast(chosen), "i").groupBy("i", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    got = rows.select("text", "y").mapInArrow(lean(_features), "label int, buckets binary, times binary, dense binary").collect()
+    got.sort(key=lambda r: (bytes(r["dense"]), bytes(r["buckets"]), bytes(r["times"]), r["label"]))
     docs_ = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["times"], np.int32), np.frombuffer(r["dense"], np.float32)) for r in got]
     return Model.fit(docs_, np.array([r["label"] for r in got])) if docs_ else None
 
 
+def score_of(column: pa.Array, model: Model | None) -> np.ndarray:
+    """Scores of texts (null: empty); without a model 1 for a text with a word, else 0."""
+    column = pc.fill_null(column.cast(pa.string()), "")
+    if model is None:
+        return np.array([float(bool(t.strip(" \t\n\v\f\r"))) for t in column.to_pylist()])
+    return model.score(column)
+
+
 def scores(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted. Only the text enters a score.
 
-    Null and empty texts, and texts of white space, score 0; without a model every other text scores 1. Rows that
-    repeat score alike.
+    Null and empty texts score 0, texts of white space as their bytes say; without a model every text with a word scores 1, any other
+    0. Rows that repeat score alike. Texts are read whole; a text must fit into a task. Other columns are not looked at. An
+    empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = pc.fill_null(b.column(1), "")
-            if sent.value is None:
-                score = np.array([float(bool(t.strip(" \t\n\v\f\r"))) for t in column.to_pylist()])
-            else:
-                score = sent.value.score(column)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_of(b.column(1), sent.value), pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = rows.mapInArrow(lean(run), "doc_id bigint, score double")
@@ -164,12 +174,12 @@ def scores(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str
 
 
 def accept(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows that the classifier rejects; all columns stay and no row moves to another task."""
+    """docs without the rows that the classifier rejects, just those that scores predicts 0 for; all columns stay, whatever
+    their names, and no row moves to another task."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = pc.fill_null(b.column(b.schema.get_field_index(text)), "")
-            yield b.filter(pa.array(sent.value.score(column) >= threshold)) if sent.value is not None else b
+            yield b.filter(pa.array(score_of(b.column(b.schema.get_field_index(text)), sent.value) >= threshold, pa.bool_()))
 
     return docs.mapInArrow(lean(run), docs.schema)
