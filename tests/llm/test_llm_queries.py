@@ -1,6 +1,8 @@
 import os
+import re
 import sys
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -36,6 +38,154 @@ def test_pipeline_by_hand(spark):
     assert {r["doc_id"] for r in got.collect()} == lone - bad
 
 
+def plain_shingles(text):
+    w = [x for x in re.split("[\\x20\\x09-\\x0D]+", (text or "").lower()) if x]
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+
+
+def plain_classes(rows):
+    """Smallest id that links of a similarity of 0.8 reach, by all pairs."""
+    sets, root = [(i, plain_shingles(t)) for i, t in rows], {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[a + 1 :]:
+            if x and y and min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i, _ in rows}
+
+
+def plain_edits(item, text):
+    """Least edit distance of item to any stretch of text, row by row of the matrix."""
+    t = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    row, at = np.zeros(len(t) + 1, np.int32), np.arange(len(t) + 1, dtype=np.int32)
+    for n, c in enumerate(np.frombuffer(item.encode("utf-32-le"), np.uint32), 1):
+        new = np.empty_like(row)
+        new[0] = n
+        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (t != c))
+        row = np.minimum.accumulate(new - at) + at
+    return int(row.min())
+
+
+def test_op8_by_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert {r["doc_id"]: r["class_id"] for r in QUERIES["op8_near_duplicates"](spark, SF).collect()} == plain_classes(rows)
+
+
+def test_op2_by_brute_force(spark):
+    from tickfuse.llm.decontamination import ITEM, RATE, normalise
+
+    docs = {r["doc_id"]: normalise(r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000").collect()}
+    got = {r["doc_id"]: set(r["item_ids"]) for r in QUERIES["op2_decontamination"](spark, SF).collect()}
+    some = {*sorted(set().union(*(got[i] for i in docs)))[:8], *range(4)}
+    items = {r["item_id"]: normalise(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if r["item_id"] in some}
+    found = 0
+    for i, text in docs.items():
+        for item_id, item in items.items():
+            near = plain_edits(item, text) <= int(RATE * len(item)) if len(item) >= ITEM else f" {item} " in f" {text} "
+            assert (item_id in got[i]) == near
+            found += near
+    assert found
+
+
+def test_op6_held_out(spark):
+    """Learnt from three quarters of the labelled rows, right on nearly all of the rest."""
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = [(r["lang_pred"], lang[r["doc_id"]]) for r in QUERIES["op6_language"](spark, SF).collect() if r["held_out"] and lang[r["doc_id"]] and r["lang_pred"] != "und"]
+    assert got and sum(a == b for a, b in got) >= 0.97 * len(got)
+
+
+def test_op4_by_brute_force(spark):
+    """Targets by hand, taken words to the word, and no document above three times its size."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in docs}
+    total = {}
+    for r in docs:
+        total[r["source"]] = total.get(r["source"], 0) + size[r["doc_id"]]
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    weight, target, left, open_ = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}, {}, float(sum(total.values())), set(names)
+    while open_:
+        w = sum(weight[s] for s in open_)
+        above = {s for s in open_ if left * weight[s] / w > 3 * total[s]}
+        for s in above or open_:
+            target[s] = 3.0 * total[s] if above else left * weight[s] / w
+        left, open_ = left - sum(target[s] for s in above), open_ - above if above else set()
+    got = QUERIES["op4_mixing"](spark, SF).collect()
+    source, taken = {r["doc_id"]: r["source"] for r in docs}, {}
+    for r in got:
+        s = source[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (size[r["doc_id"]], total[s]) and abs(r["target"] - target[s]) < 1e-6 and 0 <= r["taken"] <= 3 * r["size"]
+        taken[s] = taken.get(s, 0) + r["taken"]
+    assert all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in names)
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """Each stage against a plain version of it, on what the stage before kept, and the rows of the whole."""
+    import corpus_pipeline
+    from tickfuse.llm.decontamination import ITEM, RATE, normalise
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 1500 or text is null")
+    sf = str(tmp_path)
+    docs.write.parquet(f"{sf}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{sf}/labels.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(10).write.parquet(f"{sf}/benchmark.parquet")
+    items = [normalise(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    step = spark.read.parquet(f"{sf}/documents.parquet")
+    step = corpus_pipeline.table(corpus_pipeline.quality_stage(spark, step, sf), "t1")
+    rows = step.collect()
+    lines = corpus_pipeline.table(corpus_pipeline.line_stage(spark, step, sf), "t2")
+    texts, count = {}, {}
+    words = lambda t: " ".join(re.split("[\\x20\\x09-\\x0D]+", t.lower())).strip()
+    bare = lambda x: x.strip(" \t\n\v\f\r")
+    for r in rows:
+        texts.setdefault(r["source"], {}).setdefault(words(r["text"]), set()).update(bare(x) for x in r["text"].split("\n"))
+    for s, own in texts.items():
+        for lines_ in own.values():
+            for x in lines_ - {""}:
+                count[s, x] = count.get((s, x), 0) + 1
+    bad = {(s, x) for (s, x), c in count.items() if c >= 2 and c > 0.02 * len(texts[s])}
+    want = {r["doc_id"]: "\n".join(x for x in r["text"].split("\n") if (r["source"], bare(x)) not in bad) for r in rows}
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == want
+    near = corpus_pipeline.table(corpus_pipeline.near_duplicate_stage(spark, lines, sf), "t3")
+    classes = plain_classes(list(want.items()))
+    assert {r["doc_id"] for r in near.collect()} == set(classes.values())
+    clean = corpus_pipeline.table(corpus_pipeline.decontamination_stage(spark, near, sf), "t4")
+    hit = lambda t: any(plain_edits(i, t) <= int(RATE * len(i)) if len(i) >= ITEM else f" {i} " in f" {t} " for i in items)
+    left = {r["doc_id"] for r in near.collect() if not hit(normalise(r["text"]))}
+    assert {r["doc_id"] for r in clean.collect()} == left
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in out} == left and all(r["taken"] <= 3 * r["size"] for r in out)
+
+
+AWKWARD = "doc_id bigint, text string, lang string, source string, n_chars int, i string, k bigint, hits string, gone_id int, taken double, host_pages int, __row string, Block int"
+
+
+@pytest.mark.parametrize("rows", ["some", "none"])
+def test_stages_on_awkward_rows(spark, tmp_path, rows):
+    """Nulls in every column, empty and long texts, ties, repeated rows and ids, clashing columns, missing side tables."""
+    import corpus_pipeline
+
+    t = "some words that are said here " * 4
+    some = [(1, t, "en", "a"), (1, t, "en", "a"), (1, "another text of the same id, with words", "en", "a"), (None, t, None, None), (None, None, None, None), (2, "", "en", "b"), (3, " \n\t", "en", "b"), (4, "x" * 300_000, "en", "b"), (5, "w " * 60_000, "en", None)]
+    df = spark.createDataFrame([(*r, 1, "i", 2, "h", 3, 0.5, 4, "r", 5) for r in (some if rows == "some" else [])], AWKWARD).repartition(2)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.table(stage(spark, docs, str(tmp_path)), name)
+        if name != "mixing":
+            assert sorted(out.columns) == sorted(docs.columns)
+            assert [f.dataType for f in out.select(docs.columns).schema] == [f.dataType for f in docs.schema]
+        docs = out
+    kept = sorted((r["doc_id"] or 0, r["size"]) for r in docs.collect())
+    # Without labels all texts with a word pass. Copies by text: the row of id 1 stays, once, and its other text.
+    assert kept == ([(1, 8), (1, 24), (4, 1), (5, 60_000)] if rows == "some" else [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept)
+
+
 def test_every_row_is_there(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op2_decontamination", "op4_mixing", "op5_quality", "op6_language", "op7_suffix_dedup", "op8_near_duplicates"):
