@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a local folder is set only where the session names none (tests)."""
+    """spark.checkpoint.dir. Where the session names none, a local folder does only if driver and executors are one process;
+    on a cluster that is an error, as executors would write where nobody else can read."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tickfuse.shared.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[[^,]*(,.*)?\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tickfuse-")
         spark.conf.set("tickfuse.shared.dir", named)
     return named
