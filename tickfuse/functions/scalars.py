@@ -16,10 +16,10 @@ def global_crystal(channel: Column, crystal: Column, per_channel: int) -> Column
     return channel * per_channel + crystal
 
 
-def shift_channel(channel: Column, offset: int, most: int = 0xFFFF) -> Column:
-    """channel + offset; a value outside 16 bits raises."""
-    moved = channel + offset
-    return F.when(moved.between(0, most), moved).otherwise(F.raise_error(F.concat(F.lit("channel out of range: "), moved.cast("string"))).cast("int"))
+def shift_channel(channel: Column, offset: int, most: int = 0xFFFFFFFF) -> Column:
+    """channel + offset; a value outside 32 bits without sign (or above `most`) raises."""
+    moved = channel.cast("bigint") + offset
+    return F.when(moved.between(0, most), moved).otherwise(F.raise_error(F.concat(F.lit("channel out of range: "), moved.cast("string"))).cast("bigint"))
 
 
 def saturate_u32(x: Column) -> Column:
@@ -49,26 +49,43 @@ def text_to_ip(text: Column) -> Column:
 
 
 def parse_command(text: Column) -> Column:
-    """key=value;key=value to a map; pairs without a key or = are left out, the last of a key holds."""
+    """key=value;key=value to a map, nothing trimmed; parts without = or with an empty key are left out, the last of a key holds."""
     pairs = F.filter(F.split(text, ";"), lambda s: F.instr(s, "=") > 1)
-    key, value = (lambda s: F.trim(F.substring_index(s, "=", 1))), (lambda s: F.trim(F.substring(s, F.instr(s, "=") + 1, F.length(s))))
+    key, value = (lambda s: F.substring_index(s, "=", 1)), (lambda s: F.substring(s, F.instr(s, "=") + 1, F.length(s)))
     seen = F.array_distinct(F.transform(pairs, key))
     return F.map_from_arrays(seen, F.transform(seen, lambda k: F.element_at(F.transform(F.filter(pairs, lambda s: key(s) == k), value), -1)))
 
 
+def parse_uint64(params: Column, key: str, fallback: int) -> Column:
+    """The number that a parameter begins with, after white space and a sign, as decimal(20,0); a negative one wraps at
+    2**64. Without the key, without digits or above 64 bits it is `fallback`."""
+    found = F.try_element_at(params, F.lit(key))
+    pattern = r"^[\x20\x09-\x0D]*([+-]?)([0-9]+)"
+    n = F.regexp_extract(found, pattern, 2).try_cast("decimal(38,0)")
+    wrapped = F.when((F.regexp_extract(found, pattern, 1) == "-") & (n > 0), F.expr("18446744073709551616BD") - n).otherwise(n)
+    return F.when(n <= F.expr("18446744073709551615BD"), wrapped).otherwise(F.lit(fallback)).cast("decimal(20,0)")
+
+
 def split_list(text: Column) -> Column:
-    """Parts between commas or semicolons, without blanks and empty parts."""
-    return F.filter(F.transform(F.split(text, "[,;]"), lambda s: F.trim(s)), lambda s: s != "")
+    """Parts between commas or semicolons as they are; only empty ones are left out."""
+    return F.filter(F.split(text, "[,;]"), lambda s: s != "")
 
 
 def shard_strategy(text: Column) -> Column:
-    low = F.lower(text)
-    return F.when(low.isin("hashbychannel", "hash_by_channel", "hash"), "HashByChannel").when(low.isin("freespaceaware", "free_space_aware"), "FreeSpaceAware").otherwise("RoundRobin")
+    """The strategy of one of three spellings each; null for anything else."""
+    # The names; each is also known in lower and in upper case.
+    names = ["HashByChannel", "FreeSpaceAware", "RoundRobin"]
+    return F.coalesce(*[F.when(text.isin(n, n.lower(), n.upper()), F.lit(n)) for n in names])
+
+
+def detector_type(text: Column) -> Column:
+    # Detector types that are known by name.
+    return F.when(text.isin("BDM2", "BDM50100"), text).otherwise(F.lit("Unknown"))
 
 
 def session_name(name: Column, options: Column, prefix: Column, now_ms: Column) -> Column:
     """The name, else the session of the options, else prefix_now."""
-    return F.coalesce(F.nullif(F.trim(name), F.lit("")), F.nullif(F.try_element_at(options, F.lit("session")), F.lit("")), F.concat(prefix, F.lit("_"), now_ms.cast("string")))
+    return F.coalesce(F.nullif(name, F.lit("")), F.nullif(F.try_element_at(options, F.lit("session")), F.lit("")), F.concat(prefix, F.lit("_"), now_ms.cast("string")))
 
 
 def corrected_time(local: Column, offset: Column, unit: str = "ns") -> Column:
@@ -82,7 +99,9 @@ def segment_mib_per_s(packets: Column, seconds: Column, packet_bytes: int = 1024
     return F.when(seconds > 0, packets * packet_bytes / (1024.0 * 1024.0) / seconds)
 
 
-def reserve_singles(gibit: Column, packet_bytes: int, singles_per_packet: int, most: int = 2**31 - 1) -> Column:
-    """Singles that so many GiBit of packets can hold at most, saturating."""
-    packets = F.floor(gibit * float(1 << 30) / 8 / packet_bytes)
-    return F.least(packets * singles_per_packet, F.lit(most)).cast("bigint")
+def reserve_singles(gibit: Column, packet_bytes: int, singles_per_packet: int, most: int = (1 << 64) - 1) -> Column:
+    """Singles that so many GiBit of packets can hold at most, as decimal(20,0), saturating; 0 for none or fewer."""
+    packets = F.floor(gibit.cast("double") * float(1 << 30) / float(8 * packet_bytes))
+    full = F.lit(str(most)).cast("decimal(20,0)")
+    exact = (packets.cast("decimal(20,0)") * F.lit(singles_per_packet)).cast("decimal(38,0)")
+    return F.when(gibit <= 0, F.lit(0)).when(packets >= most // singles_per_packet, full).otherwise(exact).cast("decimal(20,0)")

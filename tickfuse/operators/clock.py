@@ -45,13 +45,14 @@ def confidence(n: Column) -> Column:
 
 
 def plausible(samples: DataFrame, client_ns: str, server_ns: str) -> DataFrame:
-    """Client times that aren't 0 and within an hour of the server's; latency is half the difference, in ms."""
+    """Client times that aren't 0 and within an hour of the server's; latency is half the difference in ms, below 0 where the
+    client is ahead."""
     d = F.col(server_ns) - F.col(client_ns)
-    return samples.where((F.col(client_ns) != 0) & (F.abs(d) <= HOUR_NS)).withColumn("latency_ms", F.abs(d) / 2e6)
+    return samples.where((F.col(client_ns) != 0) & (F.abs(d) <= HOUR_NS)).withColumn("latency_ms", d / 2e6)
 
 
 def client_table(samples: DataFrame, client: str, order: str) -> DataFrame:
-    """Latest state of each client: samples, last offset, confidence."""
+    """Latest state of each client: samples, last offset, confidence. A client that is reset has the samples after it only."""
     return samples.groupBy(client).agg(F.count(F.lit(1)).alias("syncs"), F.max_by("offset_ns", order).alias("offset_ns"), F.max(order).alias("last")).withColumn("confidence", confidence(F.col("syncs")))
 
 
@@ -66,4 +67,10 @@ def calibrate(intervals: DataFrame, start: str = "start_ns", end: str = "end_ns"
 def alignment(events: DataFrame, time: str = "cal_ns") -> DataFrame:
     """Spread of calibrated times and its grade."""
     s = F.max(time) - F.min(time)
-    return events.agg(s.alias("spread_ns"), F.when(s < 1_000_000, "excellent").when(s < 10_000_000, "good").when(s < 50_000_000, "fair").otherwise("poor").alias("grade"))
+    return events.agg(s.alias("spread_ns"), F.when(s < 1_000_000, "excellent").when(s < 10_000_000, "good").otherwise("acceptable").alias("grade"))
+
+
+def after_reset(samples: DataFrame, resets: DataFrame, client: str, order: str) -> DataFrame:
+    """Samples after the last reset of their client; resets: client and the order at which it was reset."""
+    last = resets.groupBy(client).agg(F.max(order).alias("__reset"))
+    return samples.join(last, client, "left").where(F.col("__reset").isNull() | (F.col(order) > F.col("__reset"))).drop("__reset")

@@ -49,9 +49,14 @@ def require_channels(wanted: DataFrame, known: DataFrame, channel: str = "channe
     return wanted
 
 
-def replay_filter(packets: DataFrame, first: int, count: int, channel: str = "channel") -> tuple[DataFrame, DataFrame]:
-    """Packets of `count` channels from `first`, renumbered from 0; and one row with sent and skipped counts."""
+def replay_filter(packets: DataFrame, first: int, count: int, channel: str = "channel", repeat: int = 1, segments: int | None = None, segment: str = "segment_id") -> tuple[DataFrame, DataFrame]:
+    """Packets of `count` channels from `first`, renumbered from 0, of segments below `segments` and `repeat` times over (column
+    round, if more than once); and one row with sent and skipped counts."""
     on = F.col(channel).between(first, first + count - 1)
+    if segments is not None:
+        packets = packets.where(F.col(segment) < segments)
+    if repeat != 1:
+        packets = packets.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeat - 1))))
     kept = packets.where(on).withColumn(channel, F.col(channel) - first)
     return kept, packets.agg(F.count_if(on).alias("sent"), F.count_if(~on).alias("skipped"))
 

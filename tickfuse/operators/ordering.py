@@ -36,3 +36,15 @@ def packet_order(packets: DataFrame, time: str, directory: str, segment: str, pa
 
 def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
+
+
+def insert_chunks(buffer: DataFrame, arrived: DataFrame, node: str, time: str) -> DataFrame:
+    """Chunks of a buffer and those that arrived, with their place by time within the node; of equal times the older first."""
+    both = buffer.withColumn("__new", F.lit(0)).unionByName(arrived.withColumn("__new", F.lit(1)))
+    return both.withColumn("place", F.row_number().over(Window.partitionBy(node).orderBy(time, "__new")) - 1).drop("__new")
+
+
+def drop_front(buffer: DataFrame, node: str, time: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """The first n chunks of each node, and the rest."""
+    placed = buffer.withColumn("__p", F.row_number().over(Window.partitionBy(node).orderBy(time)))
+    return placed.where(F.col("__p") <= n).drop("__p"), placed.where(F.col("__p") > n).drop("__p")

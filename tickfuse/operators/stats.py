@@ -42,6 +42,11 @@ def file_info(segments: DataFrame, by: str, start: str = "start_ms", duration: s
     return segments.groupBy(by).agg(F.count(F.lit(1)).alias("segments"), F.sum(duration).cast("bigint").alias("duration_ms"), F.min(start).alias("first_clock"), F.max(start).alias("last_clock"), (F.max(start) - F.min(start) + F.max_by(duration, place)).alias("span_ms"))
 
 
+def inventory(segments: DataFrame, start: str = "start_ms", duration: str = "duration_ms") -> DataFrame:
+    """One row: first start, last end, segments, summed duration."""
+    return segments.agg(F.min(start).alias("first_ms"), F.max(F.col(start) + F.col(duration)).alias("last_ms"), F.count(F.lit(1)).alias("segments"), F.sum(duration).cast("bigint").alias("total_ms"))
+
+
 def multiset(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
 

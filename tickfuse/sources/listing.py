@@ -12,12 +12,17 @@ def files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return found.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
 
-def start_clock(name: Column, prefix: str = "pniRaw-", suffix: str = ".bin") -> Column:
-    """The clock in prefix<clock>[_<part>]suffix; null for another name."""
-    return F.nullif(F.regexp_extract(name, rf"^\Q{prefix}\E(\d+)(?:_-?\d+)?\Q{suffix}\E$", 1), F.lit("")).cast("bigint")
+# How raw files are named on disk.
+PREFIX, SUFFIX = "pniRaw-", ".bin"
 
 
-def raw_files(listed: DataFrame, prefix: str = "pniRaw-", suffix: str = ".bin") -> DataFrame:
+def start_clock(name: Column, prefix: str = PREFIX, suffix: str = SUFFIX) -> Column:
+    """The clock in prefix<clock>suffix: the number before the first _ or - between them; null for another name."""
+    found = F.regexp_extract(name, rf"^\Q{prefix}\E[\x20\x09-\x0D]*\+?(\d+)[^_-]*(?:[_-].*)?\Q{suffix}\E$", 1)
+    return F.nullif(found, F.lit("")).try_cast("bigint")
+
+
+def raw_files(listed: DataFrame, prefix: str = PREFIX, suffix: str = SUFFIX) -> DataFrame:
     """Raw files with their clock, by clock and path."""
     return listed.withColumn("clock", start_clock(F.col("name"), prefix, suffix)).where("clock is not null").orderBy("clock", "path")
 
