@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import interval_join, ordering, stats
 from ..operators.ordering import merge_streams
-from ..storage import shared_path
 
 
 def event_time(t: str, ticks_per_us: int) -> Column:
@@ -49,46 +48,122 @@ def run_available(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return q
 
 
+def bounded_state(spark: SparkSession, budget_mb: int = 2048) -> None:
+    """State outside the JVM heap, with one budget for all state stores of an executor; set before a stream starts. How much
+    a stream takes in at once is bounded by its source (maxFilesPerTrigger, packetsPerBatch)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(budget_mb))
+
+
 class WatermarkBatches:
     """Coincidences batch by batch, as a master process that waits for all nodes does it.
 
     Rows up to the watermark leave the buffer and are paired among themselves; late rows leave with the next batch that
-    advances; pairs across batches are not made. The buffer is a table that each batch replaces, so a restart finds it.
+    advances; pairs across batches are not made. All state (buffer, last times, mark, number of batches) is a folder per micro-batch
+    below `state`, complete once its meta table is written, and pairs go to a folder per micro-batch below `out`. A micro-batch
+    that is run again, after a restart too, starts from its predecessor's state and replaces its own folders, so nothing is
+    lost or there twice. Folders of state that no restart can need are deleted.
     """
 
-    def __init__(self, spark: SparkSession, out: str, nodes: int, margin: int, pair: Callable[[DataFrame], DataFrame], node: str = "node_id", t: str = "t"):
-        self.spark, self.out, self.nodes, self.margin, self.pair, self.node, self.t = spark, out, nodes, margin, pair, node, t
-        self.buffer: DataFrame | None = None
-        self.last: dict = {}
-        self.mark, self.batches = 0, 0
+    META = "last map<string,bigint>, mark bigint, batches bigint, flushed boolean"
+
+    def __init__(self, spark: SparkSession, out: str, state: str, nodes: int, margin: int, pair: Callable[[DataFrame], DataFrame], node: str = "node_id", t: str = "t"):
+        self.spark, self.out, self.state, self.nodes, self.margin, self.pair, self.node, self.t = spark, out, state, nodes, margin, pair, node, t
+
+    def _steps(self) -> list[int]:
+        """Micro-batches whose state is complete."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.state)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        names = [f.getPath().getName() for f in fs.listStatus(root)]
+        return sorted(int(n) for n in names if n.isdigit() and fs.exists(done(f"{self.state}/{n}/meta/_SUCCESS")))
+
+    def _load(self, before: int) -> tuple[dict, DataFrame | None, int | None]:
+        steps = [n for n in self._steps() if n < before]
+        if not steps:
+            return {"last": {}, "mark": 0, "batches": 0, "flushed": False}, None, None
+        at = steps[-1]
+        meta = self.spark.read.schema(self.META).parquet(f"{self.state}/{at}/meta").first().asDict()
+        return meta, self.spark.read.parquet(f"{self.state}/{at}/buffer"), at
+
+    def _save(self, step: int, meta: dict, held: DataFrame) -> None:
+        held.write.mode("overwrite").parquet(f"{self.state}/{step}/buffer")
+        self.spark.createDataFrame([tuple(meta[k] for k in ("last", "mark", "batches", "flushed"))], self.META).coalesce(1).write.mode("overwrite").parquet(f"{self.state}/{step}/meta")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        for old in [n for n in self._steps() if n < step][:-1]:  # the last micro-batch before this may be run again
+            gone = path(f"{self.state}/{old}")
+            gone.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(gone, True)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        meta, buffer, _ = self._load(batch_id)
+        last = dict(meta["last"])
         for r in stats.chunk_ranges(rows, [self.node], self.t).collect():  # a row per node
-            self.last[r[self.node]] = max(self.last.get(r[self.node], r["max_t"]), r["max_t"])
-        held = rows if self.buffer is None else self.buffer.unionByName(rows)
-        mark = 0 if len(self.last) < self.nodes else max(0, min(self.last.values()) - self.margin)
-        if mark > self.mark:
+            name = str(r[self.node])
+            last[name] = max(last.get(name, r["max_t"]), r["max_t"])
+        held = rows if buffer is None else buffer.unionByName(rows)
+        mark = 0 if len(last) < self.nodes else max(0, min(last.values()) - self.margin)
+        batches = meta["batches"]
+        if mark > meta["mark"]:
             due, held = ordering.split_at(held, mark, self.t)
-            self._emit(due)
-            self.mark = mark
-        path = shared_path(self.spark, "stream-buffer")
-        held.write.parquet(path)
-        self.buffer = self.spark.read.schema(rows.schema).parquet(path)
+            self._emit(due, batches, batch_id)
+            batches += 1
+        self._save(batch_id, {"last": last, "mark": max(mark, meta["mark"]), "batches": batches, "flushed": False}, held)
 
-    def _emit(self, due: DataFrame) -> None:
-        self.pair(due).withColumn("batch", F.lit(self.batches)).write.mode("append").parquet(self.out)
-        self.batches += 1
+    def _emit(self, due: DataFrame, number: int, step: int) -> None:
+        self.pair(due).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{self.out}/step={step}")
 
     def flush(self) -> None:
-        """Pairs what is left, whatever the watermark."""
-        if self.buffer is not None:
-            self._emit(self.buffer)
-            self.buffer = None
+        """Pairs what is left, whatever the watermark, once; a flush that is run again replaces what it wrote."""
+        meta, buffer, at = self._load(1 << 62)
+        if buffer is not None and not meta["flushed"]:
+            self._emit(buffer, meta["batches"], at + 1_000_000_000)
+            self._save(at + 1, meta | {"batches": meta["batches"] + 1, "flushed": True}, buffer.limit(0))
+
+    def pairs(self) -> DataFrame:
+        """All that was written."""
+        return self.spark.read.option("basePath", self.out).parquet(f"{self.out}/step=*").drop("step")
 
 
 def run_batches(stream: DataFrame, handler: WatermarkBatches, checkpoint: str) -> None:
-    stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    handler.flush()
+    """All that is there, then the flush."""
+    Live(stream, handler, checkpoint, None).flush()
+
+
+class Live:
+    """A running stream of watermark batches: micro-batches every so many milliseconds (None: all that is there, then it
+    stops), and the control that its operator has."""
+
+    def __init__(self, stream: DataFrame, handler: WatermarkBatches, checkpoint: str, every_ms: int | None = 200):
+        self.handler = handler
+        w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+        self.query = (w.trigger(availableNow=True) if every_ms is None else w.trigger(processingTime=f"{every_ms} milliseconds")).start()
+
+    def control(self, command: str, timeout_s: float | None = None) -> str:
+        """START is done by making the object; STOP ends it and keeps its state for the next; FLUSH pairs what is left, too.
+        PAUSE and RESUME are not supported."""
+        if command == "STOP":
+            self.stop()
+        elif command == "FLUSH":
+            self.flush(timeout_s)
+        else:
+            raise ValueError(f"{command} is not supported")
+        return command
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.query.awaitTermination()
+
+    def flush(self, timeout_s: float | None = None) -> None:
+        """Takes in all that is there, stops, and pairs what is left."""
+        if self.query.isActive:
+            self.query.processAllAvailable() if timeout_s is None else self.query.awaitTermination(timeout_s)
+            self.stop()
+        elif self.query.exception():
+            raise self.query.exception()
+        self.handler.flush()
 
 
 def prompt_and_delay(window: int, delay: int, channels: int) -> Callable[[DataFrame], DataFrame]:
@@ -100,5 +175,15 @@ def progress(q: StreamingQuery) -> list[dict]:
     keep = []
     for p in q.recentProgress:
         p = p if isinstance(p, dict) else json.loads(p.json)
-        keep.append({"batch": p["batchId"], "rows": p["numInputRows"], "watermark": p.get("eventTime", {}).get("watermark"), "state_rows": sum(s["numRowsTotal"] for s in p.get("stateOperators", [])), "late": sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))})
+        keep.append({"batch": p["batchId"], "ms": p.get("batchDuration", 0), "rows": p["numInputRows"], "watermark": p.get("eventTime", {}).get("watermark"), "state_rows": sum(s["numRowsTotal"] for s in p.get("stateOperators", [])), "late": sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))})
     return keep
+
+
+def totals(q: StreamingQuery, pairs: DataFrame) -> dict:
+    """Rows taken in, micro-batches, mean milliseconds of a micro-batch (0.9 of the mean before and 0.1 of the new one), and pairs
+    of each kind."""
+    mean, done = 0.0, progress(q)
+    for p in done:
+        mean = 0.9 * mean + 0.1 * p["ms"]
+    kinds = {r["kind"]: r["n"] for r in pairs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {"rows": sum(p["rows"] for p in done), "batches": len(done), "mean_ms": mean, "prompt": kinds.get("prompt", 0), "delay": kinds.get("delay", 0)}
