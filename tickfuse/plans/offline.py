@@ -2,35 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decoders import DECODERS, SINGLES, Decoder
 from ..operators import filters, folds, interval_join
 from ..schemas import CoincidenceProtocol, R2SConfig
 
-#: Decoders by detector type: (packet batches as pandas) -> (singles batches). Register one to add a detector.
-GENERATORS: dict[str, Callable] = {}
+#: Decoders by detector type. Register one to add a detector.
+GENERATORS: dict[str, Decoder] = dict(DECODERS)
 
 
-def register_generator(detector: str, decode: Callable) -> None:
+def register_generator(detector: str, decode: Decoder) -> None:
     GENERATORS[detector] = decode
 
 
 def raw_to_singles(packets: DataFrame, config: R2SConfig, wanted: DataFrame | None = None) -> DataFrame:
     """Channel filter, decode, energy cut, global channels kept throughout. The filter stands before the decoder, through
-    which the optimiser can't push it."""
+    which the optimiser can't push it; the decoder gets the configuration."""
     if config.detector_type not in GENERATORS:
         raise ValueError(f"no generator for detector {config.detector_type}; there are: {', '.join(sorted(GENERATORS))}")
     if wanted is not None:
         packets = filters.assigned_channels(packets, wanted)
     elif config.channel_indices:
         packets = packets.where(F.col("channel").isin(list(config.channel_indices)))
-    singles = packets.mapInPandas(GENERATORS[config.detector_type], "segment_id bigint, clock_ms bigint, channel int, crystal int, time_100fs bigint, energy float")
+    singles = packets.mapInPandas(GENERATORS[config.detector_type](config), SINGLES)
     return filters.energy_window(singles, *config.energy_cut) if config.energy_cut else singles
 
 
+def raw_files_to_singles(spark: SparkSession, folder: str, config: R2SConfig) -> DataFrame:
+    """Every raw file of a folder, decoded, with the clock of its name as input_clock; one table, no loop over files."""
+    from ..sources import listing, raw_packets
+
+    packets = raw_packets.read(spark, folder)
+    singles = raw_to_singles(packets, config)
+    clocks = listing.raw_files(listing.files(spark, folder)).select(F.col("clock").alias("clock_ms"), F.col("clock").alias("input_clock"))
+    return singles.join(clocks.distinct(), "clock_ms")
+
+
 def merge_and_pair(singles: DataFrame, segments: DataFrame, protocol: CoincidenceProtocol, channels: int, mode: str = "corrected", tolerance_ms: int = 5) -> DataFrame:
     """Coincidences over merged node files. singles: id, file, segment_id, channel, crystal, time_100fs, energy;
     segments: file, segment_id, start_ms, end_ms. faithful keeps pairs within groups of segments that start within
