@@ -116,13 +116,56 @@ def test_codec_round_trip(spark):
 
 
 def test_scalars(spark):
-    r = spark.range(1).select(scalars.channel_separation(F.lit(1), F.lit(11), 12).alias("s"), scalars.is_ipv4(F.lit("1.2.3.256")).alias("bad"), scalars.text_to_ip(F.lit("1.2.3.4")).alias("ip"), scalars.shard_strategy(F.lit("hash_by_channel")).alias("k"), scalars.corrected_time(F.lit(-1500).cast("bigint"), F.lit(0).cast("bigint"), "us").alias("us"), scalars.session_name(F.lit(" "), scalars.parse_command(F.lit("session=x")), F.lit("p"), F.lit(3)).alias("n")).first()
-    assert tuple(r) == (2, False, 0x01020304, "HashByChannel", -1, "x")
+    r = spark.range(1).select(scalars.channel_separation(F.lit(1), F.lit(11), 12).alias("s"), scalars.is_ipv4(F.lit("1.2.3.256")).alias("bad"), scalars.text_to_ip(F.lit("1.2.3.4")).alias("ip"), scalars.shard_strategy(F.lit("HASHBYCHANNEL")).alias("k"), scalars.corrected_time(F.lit(-1500).cast("bigint"), F.lit(0).cast("bigint"), "us").alias("us"), scalars.session_name(F.lit(" "), scalars.parse_command(F.lit("session=x")), F.lit("p"), F.lit(3)).alias("n")).first()
+    assert tuple(r) == (2, False, 0x01020304, "HashByChannel", -1, " ")
+    r = spark.range(1).select(scalars.shard_strategy(F.lit("hash")).alias("a"), scalars.split_list(F.lit("a, ;;b")).alias("b"), scalars.session_name(F.lit(""), scalars.parse_command(F.lit("x;session=a=b")), F.lit("p"), F.lit(3)).alias("c"), scalars.session_name(F.lit(""), scalars.parse_command(F.lit("session=;=z")), F.lit("p"), F.lit(3)).alias("d")).first()
+    assert tuple(r) == (None, ["a", " ", "b"], "a=b", "p_3")
+    cases = [("5", 5), (" +7x", 7), ("x7", 9), ("-1", (1 << 64) - 1), ("18446744073709551615", (1 << 64) - 1), ("18446744073709551616", 9), ("9" * 60, 9), ("-0", 0), (None, 9)]
+    got = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "i int, v string").select("i", scalars.parse_uint64(F.map_from_arrays(F.array(F.lit("k")), F.array("v")), "k", 9).alias("n")).orderBy("i").collect()
+    assert [int(x["n"]) for x in got] == [n for _, n in cases]
+    big = spark.range(1).select(scalars.reserve_singles(F.lit(1.0), 1024, 64).alias("a"), scalars.reserve_singles(F.lit(0.0), 1024, 64).alias("b"), scalars.reserve_singles(F.lit(1e15), 1024, 64).alias("c"), scalars.shift_channel(F.lit(0xFFFF), 1).alias("d")).first()
+    assert tuple(int(x) for x in big) == (131072 * 64, 0, (1 << 64) - 1, 0x10000)
 
 
 def test_states(spark):
     log = spark.createDataFrame([(0, 1, "CONFIGURED"), (0, 2, "RUNNING"), (0, 3, "IDLE"), (1, 1, "RUNNING")], "node int, n int, state string")
-    assert sorted((r["node"], r["n"]) for r in control.bad_transitions(log, "node", "state", "n").collect()) == [(0, 3), (1, 1)]
+    assert sorted((r["node"], r["n"]) for r in control.bad_transitions(log, "node", "state", "n").collect()) == [(1, 1)]  # shutdown to IDLE is legal
+
+
+def test_tasks(spark):
+    t = spark.createDataFrame([(0, 0, 0, 70000, 3), (1, 2000, 0, 5, 1), (2, 5, 9, 5, 0)], "id int, min_packet int, max_packet int, port int, channels int")
+    got = control.task_defaults(t, strict=False).orderBy("id").collect()
+    assert [(r["min_packet"], r["max_packet"], r["port"], r["fault"]) for r in got] == [(1024, 1024, 65535, None), (2000, 1024, 5, "max_packet below min_packet"), (5, 9, 5, "no channels")]
+    for i in (1, 2):
+        with pytest.raises(Exception, match="max_packet|no channels"):
+            control.task_defaults(t.where(F.col("id") == i)).collect()
+    with pytest.raises(ValueError):
+        control.effective_channels(t, "id", None, 1)
+    with pytest.raises(Exception, match="overflows"):
+        control.effective_channels(t, "id", 1, (1 << 32) - 2).collect()
+    assert control.override_tasks(t, lambda x: x.withColumn("port", F.lit(9))).first()["port"] == 9
+    with pytest.raises(ValueError):
+        control.override_tasks(t, lambda x: x.drop("port"))
+    assert control.admitted(t, 1, "id").count() == 2
+
+
+def test_ring_pairing(spark):
+    dirs = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "place bigint, dir string")
+    on = spark.createDataFrame([(10,), (300,), (301,), (450,)], "channel int")
+    ring = lambda *a: sorted((r["dir"], r["ring"]) for r in control.pair_rings(dirs, *a).collect())
+    assert ring(3, on, 144) == [("a", 0), ("b", 1), ("c", 2)]
+    assert ring(4, on, 144) == [("a", 0), ("b", 2), ("c", 3)]
+    assert ring(2, None, 144) == [("a", 0), ("b", 1)]
+
+
+def test_clock_details(spark):
+    s = spark.createDataFrame([(1, 1, 10**9, 10**9 - 4_000_000), (1, 2, 0, 5), (1, 3, 1, 4 * 10**12)], "c int, n int, client_ns bigint, server_ns bigint")
+    assert [r["latency_ms"] for r in clock.plausible(s, "client_ns", "server_ns").collect()] == [-2.0]
+    assert [r["n"] for r in clock.after_reset(s, s.where("n = 2"), "c", "n").collect()] == [3]
+    spread = lambda x: clock.alignment(spark.createDataFrame([(0,), (x,)], "cal_ns bigint")).first()["grade"]
+    assert [spread(x) for x in (999_999, 1_000_000, 10_000_000, 10**9)] == ["excellent", "good", "acceptable", "acceptable"]
+    tied = spark.createDataFrame([(0, 5, 1, "a"), (0, 5, 2, "b")], "node int, t int, n int, v string")
+    assert control.snapshot(tied, "node", "t", "n").first()["v"] == "b"
 
 
 def test_config(tmp_path, monkeypatch):
@@ -136,5 +179,12 @@ def test_config(tmp_path, monkeypatch):
     monkeypatch.setenv("TICKFUSE_RAW_OUTPUT_ROOTS", "/a;/b")
     assert schemas.with_environment(schemas.StorageConfig()).output_roots == ("/a", "/b")
     assert schemas.R2SConfig(use_energy_cut=True, energy_cut_low=2, energy_cut_high=1).energy_cut is None
+    from tickfuse import config
+
+    node = schemas.load_config(config.Node, {"bridge": {"queue_capacity": 8, "block_when_queue_full": False}, "coin_client": {"node_id": 3}})
+    assert (node.bridge.queue_capacity, node.coin_client.node_id, node.acq_node.status_interval_ms) == (8, 3, 500)
+    with pytest.raises(ValueError, match="queue_capacity"):
+        schemas.load_config(config.Node, {"bridge": {"queue_capacity": "8"}})
+    assert schemas.load_config(config.Master, {}).coin_master.wait_for_start_default_timeout_ms == 30000
     presets = schemas.ALIGNER_PRESETS
     assert (presets["BDM2"].channel_num, presets["BDM2"].crystals_per_channel, presets["9120"].channel_num, presets["9120"].crystals_per_channel) == (48, 676, 576, 288)

@@ -20,6 +20,111 @@ def test_raw_packets_round_trip(spark, tmp_path):
     assert [r["clock"] for r in names.collect()] == [100, 101]
 
 
+def test_clocks_of_names(spark):
+    names = {"pniRaw-123.bin": 123, "pniRaw-123-4.bin": 123, "pniRaw-123_x.bin": 123, "pniRaw-12ab.bin": 12, "pniRaw--5.bin": None, "pniRaw-x.bin": None, "pniRaw-.bin": None, "other-1.bin": None, "pniRaw-1.txt": None}
+    df = spark.createDataFrame([(n,) for n in names], "name string").select("name", listing.start_clock(F.col("name")).alias("clock"))
+    assert {r["name"]: r["clock"] for r in df.collect()} == names
+
+
+def test_plain_decoder(spark, tmp_path):
+    from tickfuse.functions import decoders
+
+    payload = decoders.encode_plain(1000, [(5, 3, 10.0), (6, 4, 20.0), (7, 500, 5.0), (700, 1, 1.0)])
+    rows = [(0, 7, 1, bytearray(payload)), (0, 7, 2, bytearray(b"short")), (0, 7, 3, None)]
+    p = spark.createDataFrame(rows, "segment_id bigint, clock_ms bigint, channel int, payload binary")
+    run = lambda **c: sorted((r["crystal"], r["time_100fs"]) for r in offline.raw_to_singles(p, R2SConfig(detector_type="plain", **c)).collect())
+    assert run(time_shift=0) == [(5, 1003), (6, 1004), (7, 1500)]
+    assert run(time_shift=10, cross_talk_enabled=True, time_window=25) == [(6, 1014), (7, 1510)]
+    files = p.where("channel = 1").withColumns({"packet_idx": F.lit(0).cast("bigint"), "duration_ms": F.lit(1).cast("bigint")})
+    raw_packets.write(files, str(tmp_path / "raw"), 4).collect()
+    assert {r["input_clock"] for r in offline.raw_files_to_singles(spark, str(tmp_path / "raw"), R2SConfig(detector_type="plain")).collect()} == {7}
+
+
+def test_manifest_over_files(spark, tmp_path):
+    """Commit after prepare, in files that are dealt to tasks in another order than by name."""
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.txt").write_text('{"type": "prepare", "segment_id": 1, "segment_clock_ms": 5, "duration_ms": 1, "shard_id": 0, "file": "x"}\n')
+    (tmp_path / "m" / "b.txt").write_text('{"type": "commit", "segment_id": 1}\n' + "not json\n" * 5000)
+    assert [r["segment_id"] for r in manifests.recover(spark, str(tmp_path / "m")).collect()] == [1]
+
+
+def test_datagrams(spark, tmp_path):
+    """A port as a stream: what is sent is there once, and again the same from the spool."""
+    import socket
+    import threading
+    import time
+
+    from tickfuse.sources import feed
+
+    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as probe:
+        probe.bind(("127.0.0.1", 0))
+        port = probe.getsockname()[1]
+    stream = feed.udp_stream(spark, port, str(tmp_path / "spool"))
+    q = feed.write_feed(stream, str(tmp_path / "feed"), str(tmp_path / "cp"))
+    sent = [f"packet {i}".encode() for i in range(40)]
+
+    def send():
+        with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as s:
+            for p in sent:
+                s.sendto(p, ("127.0.0.1", port))
+                time.sleep(0.002)
+
+    folder = tmp_path / "spool"
+    for _ in range(100):  # the socket is there once the first micro-batch has begun
+        if folder.exists():
+            break
+        time.sleep(0.2)
+    t = threading.Thread(target=send)
+    t.start()
+    t.join()
+    for _ in range(60):
+        time.sleep(0.3)
+        if folder.exists() and folder.read_bytes().count(b"packet") == 40:
+            break
+    q.processAllAvailable()
+    q.stop()
+    back = feed.read_feed(spark, str(tmp_path / "feed")).writeStream.format("memory").queryName("fed").start()
+    back.processAllAvailable()
+    rows = spark.sql("select n, payload from fed order by n").collect()
+    back.stop()
+    assert [bytes(r["payload"]) for r in rows] == sent and [r["n"] for r in rows] == list(range(40))
+    reader = feed.UdpReader({"port": str(port), "spool": str(folder)})
+    assert [r[3] for r in reader.readBetweenOffsets(reader.initialOffset(), {"at": folder.stat().st_size})] == sent
+
+
+def test_batches_survive_a_restart(spark, tmp_path):
+    """A run that dies in a micro-batch, after its pairs were written, and goes on with new objects: the same pairs as without."""
+    g = generators.singles(spark, 300, 0, 100_000, 6, 3).withColumnRenamed("time_100fs", "t").withColumn("node_id", (F.col("channel") % 2).cast("int")).select("id", "node_id", "channel", "crystal", "t")
+    for k in range(5):
+        g.where(F.expr("t div 20000") == k).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = "id bigint, node_id int, channel int, crystal int, t bigint"
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    make = lambda name: coincidence.WatermarkBatches(spark, str(tmp_path / name / "out"), str(tmp_path / name / "state"), 2, 3000, coincidence.prompt_and_delay(300, 5000, 6))
+    whole = make("whole")
+    coincidence.run_batches(stream(), whole, str(tmp_path / "cp1"))
+    want = sorted(map(tuple, whole.pairs().collect()))
+    assert want
+
+    class Dies(coincidence.WatermarkBatches):
+        def _save(self, step, meta, held):
+            if step == 3:
+                raise RuntimeError("killed")
+            super()._save(step, meta, held)
+
+    first = Dies(spark, str(tmp_path / "cut" / "out"), str(tmp_path / "cut" / "state"), 2, 3000, coincidence.prompt_and_delay(300, 5000, 6))
+    with pytest.raises(Exception, match="killed"):
+        coincidence.run_batches(stream(), first, str(tmp_path / "cp2"))
+    second = make("cut")
+    live = coincidence.Live(stream(), second, str(tmp_path / "cp2"), 50)
+    with pytest.raises(ValueError):
+        live.control("PAUSE")
+    live.control("FLUSH")
+    second.flush()  # a second flush adds nothing
+    assert sorted(map(tuple, second.pairs().collect())) == want
+    totals = coincidence.totals(live.query, second.pairs())
+    assert totals["prompt"] + totals["delay"] == len(want)
+
+
 def test_vendor_round_trip(spark, tmp_path):
     s = spark.createDataFrame([(0, i, i % 288, i * 100, 1000.0 * i) for i in range(10)], "run int, channel int, crystal int, time_100fs bigint, energy double")
     assert vendor.write_listmode(s, str(tmp_path / "lm"), "run", ["time_100fs"]).first()["events"] == 10
@@ -64,7 +169,7 @@ def test_offline_pipeline(spark, tmp_path):
         for b in batches:
             yield pd.DataFrame({"segment_id": b.segment_id, "clock_ms": b.clock_ms, "channel": b.channel, "crystal": b.channel * 0, "time_100fs": b.packet_idx * 1000, "energy": (b.packet_idx % 4).astype("float32")})
 
-    offline.register_generator("test", decode)
+    offline.register_generator("test", lambda config: decode)
     p = generators.packets(spark, 40, 5).withColumns({"segment_id": F.expr("packet_idx div 7"), "clock_ms": F.lit(1).cast("bigint")})
     s = offline.raw_to_singles(p, R2SConfig(detector_type="test", channel_indices=(1, 2), use_energy_cut=True, energy_cut_low=1, energy_cut_high=2))
     assert {r["channel"] for r in s.collect()} <= {1, 2} and s.count() > 0

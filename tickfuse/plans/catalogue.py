@@ -158,7 +158,8 @@ def complete_chunks(spark, d):
 
 @query(f"SELECT node_id, chunk_id, min_t, max_t, n::BIGINT AS n, clock_ms FROM ({v.CHUNKS})")
 def chunk_ranges(spark, d):
-    return v.chunks(spark, d)
+    s = v.singles(spark, d).withColumn("chunk_id", F.expr("id div 100"))
+    return stats.chunk_ranges(s, ["node_id", "chunk_id"]).withColumn("clock_ms", F.expr("min_t div 1000"))
 
 
 @query(f"SELECT node, arrival, chunk_id, min_time, prev_id, chunk_id - prev_id - 1 AS gap FROM (SELECT *, lag(chunk_id) OVER (PARTITION BY node ORDER BY arrival) AS prev_id FROM ({v.CHUNK_LOG})) WHERE chunk_id <> prev_id + 1")
@@ -222,7 +223,7 @@ def segment_groups(spark, d):
 
 @query(f"SELECT min(start_ms) AS first_ms, max(start_ms + duration_ms) AS last_ms, count(*)::BIGINT AS segments, sum(duration_ms)::BIGINT AS total_ms FROM ({v.SEGMENTS})")
 def segment_inventory(spark, d):
-    return v.segments(spark, d).agg(F.min("start_ms").alias("first_ms"), F.max(F.col("start_ms") + F.col("duration_ms")).alias("last_ms"), F.count(F.lit(1)).alias("segments"), F.sum("duration_ms").alias("total_ms"))
+    return stats.inventory(v.segments(spark, d))
 
 
 @query("SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 400 AS chunk_id, (row_number() OVER (ORDER BY o_orderkey) - 1) % 400 AS chunk_offset FROM orders")
@@ -236,12 +237,15 @@ def even_partition(spark, d):
     return p.withColumn("base_port", sequence.stepped(F.col("n_nationkey").cast("bigint"), 100, 16, 65535))
 
 
-@query(f"SELECT segment_id, packet_idx, CASE WHEN r < n // 3 THEN 0 WHEN r < n // 3 + (n - n // 3) // 2 THEN 1 ELSE 2 END::INT AS part FROM (SELECT segment_id, packet_idx, row_number() OVER (PARTITION BY segment_id ORDER BY packet_idx) - 1 AS r, count(*) OVER (PARTITION BY segment_id) AS n FROM ({v.PACKETS})) WHERE n >= 3")
-def tile_split(spark, d):
-    from pyspark.sql.window import Window
+_SHARE = "CASE WHEN least({left} // {parts}, 7) = 0 THEN {left} ELSE least({left} // {parts}, 7) END"
+
 
-    p = v.packets(spark, d).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("segment_id"))).where("n >= 3")
-    return sequence.tile_split(p, ["segment_id"], ["packet_idx"], 3, F.lit(0)).select("segment_id", "packet_idx", "part")
+@query(f"""WITH p AS (SELECT segment_id, packet_idx, row_number() OVER (PARTITION BY segment_id ORDER BY packet_idx) - 1 AS r, count(*) OVER (PARTITION BY segment_id) AS n FROM ({v.PACKETS}) WHERE length > 400),
+a AS (SELECT *, {_SHARE.format(left="n", parts=3)} AS e1 FROM p), b AS (SELECT *, e1 + {_SHARE.format(left="(n - e1)", parts=2)} AS e2 FROM a)
+SELECT segment_id, packet_idx, CASE WHEN r < e1 THEN 0 WHEN r < e2 THEN 1 ELSE 2 END::INT AS part FROM b""")
+def tile_split(spark, d):
+    p = filters.packet_length(v.packets(spark, d), 401, 1 << 30)
+    return sequence.tile_split(p, ["segment_id"], ["packet_idx"], 3, F.lit(7)).select("segment_id", "packet_idx", "part")
 
 
 @query("SELECT s_suppkey, s_nationkey, CASE WHEN n_nationkey IS NULL THEN 1024 ELSE 900 + n_nationkey END AS max_packet, CASE WHEN n_nationkey IS NULL THEN 512 ELSE 512 END AS min_packet FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON s_nationkey = n_nationkey")
@@ -251,10 +255,12 @@ def node_overrides(spark, d):
     return control.node_overrides(base, over, "s_nationkey", ["max_packet"])
 
 
-@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 3 * 700 ELSE 1024 END AS min_packet, greatest(CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey % 5 * 500 ELSE 1024 END, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 3 * 700 ELSE 1024 END) AS max_packet, least(65000 + s_suppkey, 65535) AS port FROM supplier")
+@query("""WITH t AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 3 * 700 ELSE 1024 END AS min_packet, CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey % 5 * 500 ELSE 1024 END AS max_packet, least(65000 + s_suppkey, 65535) AS port, CASE WHEN s_suppkey % 4 > 0 THEN greatest(s_suppkey % 4 * 4, 10) ELSE 1000 END AS time_switch_ms, CASE WHEN s_suppkey % 2 = 0 THEN 4294967296 ELSE 65536 END AS max_buffer, s_suppkey % 7 AS channels FROM supplier)
+SELECT *, CASE WHEN max_packet < min_packet THEN 'max_packet below min_packet' WHEN channels = 0 THEN 'no channels' END AS fault FROM t""")
 def task_defaults(spark, d):
-    t = v.read(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 3 * 700).alias("min_packet"), (F.col("s_suppkey") % 5 * 500).alias("max_packet"), (65000 + F.col("s_suppkey")).alias("port"))
-    return control.task_defaults(t)
+    k = F.col("s_suppkey")
+    t = v.read(spark, d, "supplier").select("s_suppkey", (k % 3 * 700).alias("min_packet"), (k % 5 * 500).alias("max_packet"), (65000 + k).alias("port"), (k % 4 * 4).alias("time_switch_ms"), (k % 2 * 65536).alias("max_buffer"), (k % 7).alias("channels"))
+    return control.task_defaults(t, strict=False)
 
 
 @query("SELECT o_orderkey AS segment_id, o_orderkey * 3 AS clock_ms, 1 + o_custkey % 20 AS duration_ms, (o_orderkey % 4)::INT AS shard_id, 'shard_' || (o_orderkey % 4) AS file FROM orders WHERE o_orderstatus = 'F'")
@@ -312,10 +318,13 @@ def drift_ppm(spark, d):
     return out.select("client", "seq", F.round("drift_ppm", 9).alias("drift_ppm"))
 
 
-@query()
+@query(f"""WITH RECURSIVE s AS (SELECT client, seq, offset_ns::HUGEINT AS x, row_number() OVER (PARTITION BY client ORDER BY seq) AS r FROM ({v.NTP})),
+f(client, seq, r, kept) AS (SELECT client, seq, r, [x] FROM s WHERE r = 1
+UNION ALL SELECT s.client, s.seq, s.r, CASE WHEN abs(s.x - trunc(list_sum(f.kept)::DECIMAL(38,0) / len(f.kept))) < 20000 THEN list_append(f.kept, s.x)[-100:] ELSE f.kept END FROM f JOIN s ON s.client = f.client AND s.r = f.r + 1)
+SELECT client, seq, trunc(list_sum(kept)::DECIMAL(38,0) / len(kept))::BIGINT AS avg_offset FROM f""")
 def gated_offset(spark, d):
     s = clock.ntp(v.sync_samples(spark, d)).select("client", "seq", "offset_ns")
-    return folds.gated_mean(s, ["client"], ["seq"], "offset_ns", 100, 20_000)
+    return folds.gated_mean(s, ["client"], ["seq"], "offset_ns", 100, 20_000).select("client", "seq", "avg_offset")
 
 
 @query(f"""WITH RECURSIVE s AS (SELECT client, seq, rtt_ns, row_number() OVER (PARTITION BY client ORDER BY seq) AS r FROM ({v.NTP})),
@@ -346,7 +355,7 @@ def should_merge(spark, d):
     return ij.merge_decisions(_calibrated(spark, d), 2_000_000, 10_000_000)
 
 
-@query(f"SELECT max(t) - min(t) AS spread_ns, 'poor' AS grade FROM (SELECT start_ns AS t FROM ({v.CALIBRATED}))")
+@query(f"SELECT max(t) - min(t) AS spread_ns, CASE WHEN max(t) - min(t) < 1000000 THEN 'excellent' WHEN max(t) - min(t) < 10000000 THEN 'good' ELSE 'acceptable' END AS grade FROM (SELECT start_ns AS t FROM ({v.CALIBRATED}))")
 def alignment(spark, d):
     return clock.alignment(_calibrated(spark, d).withColumnRenamed("start_ns", "cal_ns"))
 
@@ -375,9 +384,10 @@ def vendor_encode(spark, d):
     return e.select("l_orderkey", "l_linenumber", "ip", "ch", F.round(F.col("vendor_energy").cast("double"), 4).alias("vendor_energy"), F.round("vendor_time", 4).alias("vendor_time"))
 
 
-@query(f"SELECT l_orderkey, l_linenumber, channel, crystal, time_100fs FROM ({_LINE}) WHERE channel <= 32767 AND crystal < 288 AND channel // 48 + 2 <= 255")
+# A ring has 8 bits, so channels from ring 256 on come back on a lower ring, and not at all where that is below the first.
+@query(f"SELECT l_orderkey, l_linenumber, (((channel // 48 + 2) & 255) - 2) * 48 + channel % 48 AS channel, crystal, time_100fs FROM ({_LINE}) WHERE channel <= 32767 AND crystal < 288 AND ((channel // 48 + 2) & 255) >= 2")
 def vendor_decode(spark, d):
-    e = codec.encode_event(_line_singles(spark, d).where("channel div 48 + 2 <= 255")).select("l_orderkey", "l_linenumber", "ip", "ch", "vendor_energy", "vendor_time")
+    e = codec.encode_event(_line_singles(spark, d)).select("l_orderkey", "l_linenumber", "ip", "ch", "vendor_energy", "vendor_time")
     return codec.decode_event(e).select("l_orderkey", "l_linenumber", "channel", "crystal", "time_100fs")
 
 
@@ -393,7 +403,13 @@ def multiset_histogram(spark, d):
     return stats.multiset(v.read(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber"))
 
 
-@query()
+_MIX = f"SELECT (xor({stats.MIX_START}::UHUGEINT, channel::UHUGEINT) * {stats.MIX_PRIME}) % 18446744073709551616 AS h, crystal, t, energy FROM ({v.SINGLES})"
+for _c in ("crystal::UHUGEINT", "t::UHUGEINT", "(energy::FLOAT::BIT::UINTEGER)::UHUGEINT"):
+    _MIX = f"SELECT ((xor(h, {_c}) * {stats.MIX_PRIME}) % 18446744073709551616)::UHUGEINT AS h, crystal, t, energy FROM ({_MIX})"
+DIGEST = f"SELECT count(*)::BIGINT AS total, (CASE WHEN x >= 9223372036854775808 THEN x::HUGEINT - 18446744073709551616 ELSE x::HUGEINT END)::BIGINT AS checksum FROM (SELECT h, bit_xor(h) OVER () AS x FROM ({_MIX})) GROUP BY x"
+
+
+@query(DIGEST)
 def digest(spark, d):
     return stats.digest(v.singles(spark, d), ("channel", "crystal", "t", "energy"))
 
@@ -414,22 +430,44 @@ def status_rollup(spark, d):
     return stats.status_rollup(v.singles(spark, d).withColumn("chunk", F.expr("id div 100")), "node_id", "chunk")
 
 
-@query(f"SELECT node_id, arg_max(id, t) AS id, max(t) AS t FROM ({v.SINGLES}) GROUP BY node_id")
+@query(f"SELECT node_id, arg_max(id, struct_pack(a := t, b := id)) AS id, max(t) AS t FROM ({v.SINGLES}) GROUP BY node_id")
 def node_snapshot(spark, d):
-    return control.snapshot(v.singles(spark, d).select("node_id", "id", "t"), "node_id", "t")
+    return control.snapshot(v.singles(spark, d).select("node_id", "id", "t"), "node_id", "t", "id")
+
 
+_CMD = "SELECT conv_id, turn, 'a=stale;;bad;=none;a=' || role || '; b = ' || length(text) || ';n= -' || turn || 'x' AS cmd FROM conversations"
 
-@query("SELECT conv_id, turn, json_extract_string(j, '$.a') AS a, json_extract_string(j, '$.b') AS b FROM (SELECT conv_id, turn, json_object('a', role, 'b', length(text)::VARCHAR) AS j FROM conversations)")
+
+@query(f"""WITH i AS (SELECT conv_id, turn, unnest(string_split(cmd, ';')) AS item, generate_subscripts(string_split(cmd, ';'), 1) AS pos FROM ({_CMD})),
+p AS (SELECT conv_id, turn, pos, substr(item, 1, instr(item, '=') - 1) AS k, substr(item, instr(item, '=') + 1) AS x FROM i WHERE instr(item, '=') > 1),
+l AS (SELECT conv_id, turn, k, arg_max(x, pos) AS x FROM p GROUP BY ALL)
+SELECT conv_id, turn, max(x) FILTER (k = 'a') AS a, max(x) FILTER (k = 'b') AS b_trimmed, max(x) FILTER (k = ' b ') AS b, CASE WHEN turn = 0 THEN 0 ELSE 18446744073709551616 - turn END::DECIMAL(20, 0) AS n, 7::DECIMAL(20, 0) AS none FROM l GROUP BY conv_id, turn""")
 def kv_command_parse(spark, d):
-    c = v.read(spark, d, "conversations")
-    cmd = F.concat(F.lit("a=stale;;bad;a="), F.col("role"), F.lit("; b = "), F.length("text").cast("string"))
+    cmd = F.concat(F.lit("a=stale;;bad;=none;a="), F.col("role"), F.lit("; b = "), F.length("text").cast("string"), F.lit(";n= -"), F.col("turn").cast("string"), F.lit("x"))
     m = scalars.parse_command(cmd)
-    return c.select("conv_id", "turn", m["a"].alias("a"), m["b"].alias("b"))
+    get = lambda k: F.try_element_at(m, F.lit(k))
+    return v.read(spark, d, "conversations").select("conv_id", "turn", get("a").alias("a"), get("b").alias("b_trimmed"), get(" b ").alias("b"), scalars.parse_uint64(m, "n", 7).alias("n"), scalars.parse_uint64(m, "a", 7).alias("none"))
 
 
-@query("SELECT o_orderkey, list_filter(list_transform(regexp_split_to_array(o_orderpriority || ';' || o_orderstatus || ',, ' , '[,;]'), lambda x: trim(x)), lambda x: x <> '') AS parts FROM orders")
+@query("SELECT o_orderkey, list_filter(regexp_split_to_array(o_orderpriority || '; ' || o_orderstatus || ',, ,x' , '[,;]'), lambda x: x <> '') AS parts FROM orders")
 def list_split(spark, d):
-    return v.read(spark, d, "orders").select("o_orderkey", scalars.split_list(F.concat("o_orderpriority", F.lit(";"), "o_orderstatus", F.lit(",, "))).alias("parts"))
+    return v.read(spark, d, "orders").select("o_orderkey", scalars.split_list(F.concat("o_orderpriority", F.lit("; "), "o_orderstatus", F.lit(",, ,x"))).alias("parts"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'HashByChannel' WHEN 1 THEN 'RoundRobin' WHEN 2 THEN 'FreeSpaceAware' END AS strategy, CASE n_nationkey % 3 WHEN 0 THEN 'BDM2' WHEN 1 THEN 'BDM50100' ELSE 'Unknown' END AS detector FROM nation")
+def names_parse(spark, d):
+    k = F.col("n_nationkey")
+    strategy = F.element_at(F.array(*[F.lit(x) for x in ("hashbychannel", "ROUNDROBIN", "FreeSpaceAware", "hash_by_channel", "")]), (k % 5 + 1).cast("int"))
+    detector = F.element_at(F.array(*[F.lit(x) for x in ("BDM2", "BDM50100", "bdm2")]), (k % 3 + 1).cast("int"))
+    return v.read(spark, d, "nation").select("n_nationkey", scalars.shard_strategy(strategy).alias("strategy"), scalars.detector_type(detector).alias("detector"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN ' ' WHEN c_custkey % 3 = 1 AND c_custkey % 2 = 0 THEN c_name ELSE 'run_' || c_custkey END AS session FROM customer")
+def session_names(spark, d):
+    k, name = F.col("c_custkey"), F.col("c_name")
+    given = F.when(k % 3 == 0, F.lit(" ")).otherwise(F.lit(""))
+    options = scalars.parse_command(F.concat(F.lit("session="), F.when((k % 3 == 1) & (k % 2 == 0), name).otherwise(F.lit(""))))
+    return v.read(spark, d, "customer").select("c_custkey", scalars.session_name(given, options, F.lit("run"), k).alias("session"))
 
 
 @query("SELECT c_custkey, '10.' || (c_custkey // 65536) % 256 || '.' || (c_custkey // 256) % 256 || '.' || c_custkey % 256 AS ip, 167772160 + c_custkey AS back FROM customer")
@@ -444,9 +482,9 @@ def scalar_columns(spark, d):
     return s.select("id", scalars.global_crystal(F.col("channel"), F.col("crystal"), 676).alias("global_crystal"), scalars.channel_separation(F.col("channel"), F.lit(3), 12).alias("sep"), scalars.shift_channel(F.col("channel"), 288).alias("shifted"), scalars.format_time_ns(F.col("t") * 1000).alias("shown"))
 
 
-@query("SELECT 'Apache' AS a WHERE false UNION ALL SELECT DISTINCT r FROM (SELECT 'ring' || (user_id % 576 // 144) AS r FROM events)")
+@query("SELECT DISTINCT user_id % 576 // 144 AS ring FROM events")
 def distinct_rings(spark, d):
-    return v.read(spark, d, "events").select(F.concat(F.lit("ring"), F.expr("user_id % 576 div 144").cast("string")).alias("a")).distinct()
+    return control.distinct_rings(v.read(spark, d, "events"), 4, 144, "user_id")
 
 
 @query(f"SELECT kept::BIGINT AS kept, (total - kept)::BIGINT AS skipped, kept / total AS ratio FROM (SELECT count(*) FILTER (channel IN (1, 5, 17)) AS kept, count(*) AS total FROM ({v.PACKETS}))")
@@ -466,36 +504,50 @@ def ring_placement(spark, d):
     return control.ring_placement(n, 5)
 
 
-@query(f"SELECT count(DISTINCT node_id)::BIGINT AS registered, count(DISTINCT node_id) >= 2 AS ready, CASE WHEN count(DISTINCT node_id) >= 2 THEN max(t // 1000) + 1000 END AS start_ms FROM ({v.SINGLES}) WHERE id < 100")
+@query(f"SELECT count(DISTINCT node_id)::BIGINT AS registered, count(DISTINCT node_id) >= 2 AS ready, CASE WHEN count(DISTINCT node_id) >= 2 THEN max(t // 1000) + 1000 END AS start_ms FROM ({v.SINGLES})")
 def start_barrier(spark, d):
-    s = v.singles(spark, d).where("id < 100").withColumn("ms", F.expr("t div 1000"))
+    s = v.singles(spark, d).withColumn("ms", F.expr("t div 1000"))
     return control.start_barrier(s, "node_id", "ms", 2)
 
 
-@query(f"WITH s AS ({v.SINGLES}) SELECT {PAIR}, b.t - a.t AS dt FROM s a JOIN s b ON b.t BETWEEN a.t AND a.t + {W} AND (b.t > a.t OR b.id > a.id) AND a.channel <> b.channel AND a.energy >= 100 AND b.energy >= 100")
+@query(f"WITH s AS ({CUT}) SELECT {PAIR}, b.t - a.t AS dt FROM s a JOIN s b ON b.t BETWEEN a.t AND a.t + {W} AND (b.t > a.t OR b.id > a.id) AND a.channel <> b.channel")
 def stream_prompt_pairs(spark, d):
     """The stream-stream join over two node streams, drained; the same pairs as the batch join of on-time data."""
     from ..storage import shared_path
     from ..streaming import coincidence as live
 
     path, out = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
-    s = v.singles(spark, d).where("energy >= 100")
-    s.repartition("node_id").write.partitionBy("node_id").parquet(path)
+    cut(spark, d).repartition("node_id").write.partitionBy("node_id").parquet(path)
     schema = "id bigint, channel int, crystal int, t bigint, energy double"
     streams = [live.node_stream(spark, f"{path}/node_id={n}", schema, 5_000_000) for n in (0, 1)]
     live.run_available(live.stream_pairs(streams, W), out, shared_path(spark, "stream-checkpoint"))
     return spark.read.schema("id1 bigint, channel1 int, crystal1 int, t1 bigint, id2 bigint, channel2 int, crystal2 int, t2 bigint, dt bigint").parquet(out)
 
 
-@query()
+STEPS = 4
+# A row leaves at the first step from its own on whose mark reaches it and is above the mark before; what never does, at the end.
+_BATCHES = f"""m AS (SELECT (max(id) + {STEPS}) // {STEPS} AS width FROM ({v.SINGLES})),
+s AS (SELECT c.*, id // width AS step FROM ({CUT}) c, m),
+n AS (SELECT g.step, max(max(t) FILTER (node_id = 0)) OVER w AS a, max(max(t) FILTER (node_id = 1)) OVER w AS b FROM range({STEPS}) g(step) LEFT JOIN s USING (step) GROUP BY g.step WINDOW w AS (ORDER BY g.step)),
+k AS (SELECT step, CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE greatest(0, least(a, b) - {MARGIN}) END AS mark FROM n),
+v AS (SELECT step, mark, row_number() OVER (ORDER BY step) - 1 AS batch FROM (SELECT *, lag(mark, 1, 0) OVER (ORDER BY step) AS before FROM k) WHERE mark > before),
+o AS (SELECT s.*, coalesce((SELECT min(batch) FROM v WHERE v.step >= s.step AND v.mark >= s.t), (SELECT count(*) FROM v))::INT AS batch FROM s)"""
+
+
+@query(f"WITH {_BATCHES}, p AS (SELECT a.batch, {PAIR}, b.t - a.t AS dt FROM o a JOIN o b ON a.batch = b.batch AND b.t BETWEEN a.t AND a.t + {W} AND (b.t > a.t OR b.id > a.id) AND {SEP} >= 1), q AS (SELECT a.batch, {PAIR}, b.t - a.t - {D} AS dt FROM o a JOIN o b ON a.batch = b.batch AND b.t BETWEEN a.t + {D - W} AND a.t + {D + W} AND {SEP} >= 1) SELECT *, 'prompt' AS kind FROM p UNION ALL SELECT *, 'delay' FROM q")
 def stream_watermark_batches(spark, d):
     """Pairs of watermark batches, each paired by itself, with the batch they left in; the same singles as in batch queries."""
     from ..storage import shared_path
     from ..streaming import coincidence as live
 
-    path, out = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
-    cut(spark, d).repartition(4, "id").write.parquet(path)
-    stream = spark.readStream.schema("id bigint, node_id int, channel int, crystal int, t bigint, energy double").option("maxFilesPerTrigger", 2).parquet(path)
-    handler = live.WatermarkBatches(spark, out, 2, MARGIN, live.prompt_and_delay(W, D, CHANNELS))
+    path = shared_path(spark, "stream-in")
+    width = -(-(v.singles(spark, d).agg(F.max("id")).first()[0] + 1) // STEPS)
+    for k in range(STEPS):  # a file each, in this order
+        cut(spark, d).where(F.expr(f"id div {width}") == k).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("id bigint, node_id int, channel int, crystal int, t bigint, energy double").option("maxFilesPerTrigger", 1).parquet(path)
+    handler = live.WatermarkBatches(spark, shared_path(spark, "stream-out"), shared_path(spark, "stream-state"), 2, MARGIN, live.prompt_and_delay(W, D, CHANNELS))
     live.run_batches(stream, handler, shared_path(spark, "stream-checkpoint"))
-    return spark.read.parquet(out)
+    return handler.pairs()
+
+
+from . import round_trips  # noqa: E402, F401  adds its queries
