@@ -120,3 +120,31 @@ def ema(df: DataFrame, keys: list[str], order: list[str], value: str, old: float
         return step
 
     return streaming_fold(df, keys, order, [value], make, "ema", "double")
+
+
+def bridge(df: DataFrame, keys: list[str], order: list[str], arrive: str, service: str, capacity: int, block: bool) -> DataFrame:
+    """outcome of segments that pass a queue of `capacity` to one worker: taken, or where the queue is full, blocked (it waits
+    till there is room) or dropped; finish is when the worker is done with it (null if dropped). Times are integers."""
+
+    def make() -> Callable:
+        queue: deque = deque()
+        last = None
+
+        def step(at: int, cost: int) -> dict:
+            nonlocal last
+            at, outcome = int(at), "taken"
+            while queue and queue[0] <= at:
+                queue.popleft()
+            if len(queue) >= capacity:
+                if not block:
+                    return {"outcome": "dropped", "finish": None}
+                at, outcome = queue[0], "blocked"
+                while queue and queue[0] <= at:
+                    queue.popleft()
+            last = max(at, last if last is not None else at) + int(cost)
+            queue.append(last)
+            return {"outcome": outcome, "finish": last}
+
+        return step
+
+    return streaming_fold(df, keys, order, [arrive, service], make, "passed", "struct<outcome:string,finish:bigint>").select("*", "passed.*").drop("passed")

@@ -66,13 +66,23 @@ def coincidences(singles: DataFrame, window: int, delay: int, channels: int | No
 
 
 def overlaps(intervals: DataFrame, width: int, start: str = "start_ns", end: str = "end_ns", key: str = "idx") -> DataFrame:
-    """Pairs of half-open intervals that overlap (a's key is the smaller), with the overlap's length. Each interval
-    goes to every bin of `width` that it touches; a pair comes out in the bin of its later start."""
+    """Pairs of half-open intervals that overlap (idx1 is the smaller key), with the overlap's length.
+
+    Bins of `width` are level 0, and each level's bins are twice as wide. An interval belongs to the level whose bins are at
+    least as long as it is, so it touches two of them at most; intervals of lower levels come to that level's bins too, again to
+    two at most. A pair comes out at the higher of its levels, in the bin of its later start, so no interval is cut into
+    many pieces however long it is."""
     cut = intervals.select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e")).where("e > s")
-    bins = cut.withColumn("bin", F.explode(F.sequence(F.floor(F.col("s") / width), F.floor((F.col("e") - 1) / width))))
-    a, b = bins.select(*[F.col(c).alias(f"{c}1") for c in ("k", "s", "e")], "bin"), bins.select(*[F.col(c).alias(f"{c}2") for c in ("k", "s", "e")], "bin")
-    pairs = a.join(b, "bin").where((F.col("k1") < F.col("k2")) & (F.col("s1") < F.col("e2")) & (F.col("s2") < F.col("e1")) & (F.col("bin") == F.floor(F.greatest("s1", "s2") / width)))
-    return pairs.select(F.col("k1").alias("idx1"), F.col("k2").alias("idx2"), (F.least("e1", "e2") - F.greatest("s1", "s2")).alias("overlap_ns"))
+    cut = cut.withColumn("level", F.greatest(F.lit(0), F.ceil(F.log2((F.col("e") - F.col("s")) / width))).cast("int"))
+    levels = sorted(r["level"] for r in cut.select("level").distinct().collect())  # 64 at most
+    every = cut.withColumn("at", F.explode(F.filter(F.array(*[F.lit(x) for x in levels]).cast("array<int>"), lambda x: x >= F.col("level"))))
+    wide = F.lit(width).cast("bigint") * F.expr("shiftleft(1L, at)")
+    every = every.withColumn("w", wide).withColumn("bin", F.explode(F.sequence(F.floor(F.col("s") / F.col("w")), F.floor((F.col("e") - 1) / F.col("w")))))
+    a = every.where("at = level").select(*[F.col(c).alias(f"{c}1") for c in ("k", "s", "e")], "at", "bin", "w")
+    b = every.select(*[F.col(c).alias(f"{c}2") for c in ("k", "s", "e", "level")], "at", "bin")
+    pairs = a.join(b, ["at", "bin"]).where((F.col("level2") < F.col("at")) | (F.col("k1") < F.col("k2")))
+    pairs = pairs.where((F.col("s1") < F.col("e2")) & (F.col("s2") < F.col("e1")) & (F.col("bin") == F.floor(F.greatest("s1", "s2") / F.col("w"))))
+    return pairs.select(F.least("k1", "k2").alias("idx1"), F.greatest("k1", "k2").alias("idx2"), (F.least("e1", "e2") - F.greatest("s1", "s2")).alias("overlap_ns"))
 
 
 def merge_decisions(intervals: DataFrame, tolerance: int, width: int, mode: str = "corrected", start: str = "start_ns", end: str = "end_ns", key: str = "idx") -> DataFrame:

@@ -70,7 +70,8 @@ def tile_split(df: DataFrame, by: list[str], order: list[str], parts: int, refer
 
 
 def even_partition(items: DataFrame, order: list[str], nodes: int) -> DataFrame:
-    """node_no and local_idx: the first nodes get one item more where they don't divide evenly."""
+    """node_no and local_idx: the first nodes get one item more where they don't divide evenly. Items are the channels of a
+    detector, a few thousand at most, so one task orders them."""
     tile = F.ntile(nodes).over(Window.orderBy(*order)) - 1
     items = items.withColumn("node_no", tile)
     return items.withColumn("local_idx", F.row_number().over(Window.partitionBy("node_no").orderBy(*order)) - 1)

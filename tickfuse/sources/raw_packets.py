@@ -27,20 +27,17 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-def encode(segments: list[dict], channel_num: int) -> bytes:
-    """segments: clock_ms, duration_ms, packets as (channel, payload) pairs; offsets are made from the lengths."""
-    out, places = [MAGIC], []
-    at = len(MAGIC)
-    for s in segments:
-        channel = np.array([c for c, _ in s["packets"]], "<u2")
-        length = np.array([len(p) for _, p in s["packets"]], "<u2")
-        data = b"".join(p for _, p in s["packets"])
-        offset = (np.cumsum(length, dtype=np.uint64) - length).astype("<u8")
-        block = HEAD.pack(s["clock_ms"], s["duration_ms"], len(channel), len(data)) + channel.tobytes() + length.tobytes() + offset.tobytes() + data
-        places.append(at)
-        out.append(block)
-        at += len(block)
-    return b"".join([*out, np.array(places, "<u8").tobytes(), FOOT.pack(len(places), channel_num, MAGIC)])
+def block(segment: dict) -> bytes:
+    """One segment: clock_ms, duration_ms, packets as (channel, payload) pairs; offsets are made from the lengths."""
+    channel = np.array([c for c, _ in segment["packets"]], "<u2")
+    length = np.array([len(p) for _, p in segment["packets"]], "<u2")
+    data = b"".join(p for _, p in segment["packets"])
+    offset = (np.cumsum(length, dtype=np.uint64) - length).astype("<u8")
+    return HEAD.pack(segment["clock_ms"], segment["duration_ms"], len(channel), len(data)) + channel.tobytes() + length.tobytes() + offset.tobytes() + data
+
+
+def ending(places: list[int], channel_num: int) -> bytes:
+    return np.array(places, "<u8").tobytes() + FOOT.pack(len(places), channel_num, MAGIC)
 
 
 def footer(f: pa.NativeFile) -> tuple[np.ndarray, int]:
@@ -113,30 +110,46 @@ def read(spark: SparkSession, path: str, segments_per_partition: int = 16) -> Da
 
 def write(packets: DataFrame, folder: str, channel_num: int, prefix: str = "pniRaw-") -> DataFrame:
     """One file per input clock, prefix<clock>.bin, written where the clock's packets are; returns path and segments.
-    A file is complete once it has its name."""
+    A task holds one segment at a time. A file is complete once it has its name."""
 
     def run(batches) -> Iterator:
         import pandas as pd
 
         fs, root = open_fs(folder)
         fs.create_dir(root, recursive=True)
-        now, held, done = None, {}, []
+        out, clock, at, places, done = None, None, 0, [], []
+        now: dict | None = None
+
+        def put() -> None:
+            nonlocal at
+            places.append(at)
+            data = block(now)
+            out.write(data)
+            at += len(data)
 
         def close() -> None:
-            path = f"{root}/{prefix}{now}.bin"
-            with fs.open_output_stream(path + ".part", compression=None) as out:
-                out.write(encode([held[k] for k in sorted(held)], channel_num))
+            out.write(ending(places, channel_num))
+            out.close()
+            path = f"{root}/{prefix}{clock}.bin"
             fs.move(path + ".part", path)
-            done.append((path, len(held)))
+            done.append((path, len(places)))
 
         for b in batches:
             for r in b.itertuples(index=False):
-                if r.clock_ms != now:
+                if now is None or (r.clock_ms, r.segment_id) != (clock, now["segment_id"]):
                     if now is not None:
-                        close()
-                    now, held = r.clock_ms, {}
-                held.setdefault(r.segment_id, {"clock_ms": r.clock_ms, "duration_ms": r.duration_ms, "packets": []})["packets"].append((r.channel, r.payload))
+                        put()
+                    if r.clock_ms != clock:
+                        if out is not None:
+                            close()
+                        clock, places = r.clock_ms, []
+                        out = fs.open_output_stream(f"{root}/{prefix}{clock}.bin.part", compression=None)
+                        out.write(MAGIC)
+                        at = len(MAGIC)
+                    now = {"segment_id": r.segment_id, "clock_ms": r.clock_ms, "duration_ms": r.duration_ms, "packets": []}
+                now["packets"].append((r.channel, r.payload))
         if now is not None:
+            put()
             close()
         yield pd.DataFrame(done, columns=["path", "segments"])
 

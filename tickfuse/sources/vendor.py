@@ -50,29 +50,46 @@ def listmode_singles(spark: SparkSession, path: str, **options: float) -> DataFr
     return codec.decode_event(read_listmode(spark, path), **options).select("file", "n", "channel", "crystal", "time_100fs", "energy")
 
 
-def encode_listmode(events: pd.DataFrame) -> bytes:
+def encode_events(events: pd.DataFrame) -> bytes:
     e = np.zeros(len(events), EVENT)
     for name, col in (("ip", "ip"), ("ch", "ch"), ("energy", "vendor_energy"), ("time", "vendor_time")):
         e[name] = events[col].to_numpy()
-    return header(e.nbytes) + e.tobytes()
+    return e.tobytes()
 
 
 def write_listmode(singles: DataFrame, folder: str, by: str, order: list[str], **options: float) -> DataFrame:
-    """One vendor file per value of `by`, written by the task that holds it; returns path and events."""
+    """One vendor file per value of `by`, written by the task that holds it, batch by batch: the header needs the number of
+    events, which is counted first. Returns path and events."""
     from .raw_packets import open_fs
 
-    def run(b: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = open_fs(folder)
         fs.create_dir(root, recursive=True)
-        b = b.sort_values(order)
-        path = f"{root}/{b[by].iloc[0]}.lm"
-        with fs.open_output_stream(path + ".part", compression=None) as out:
-            out.write(encode_listmode(b))
-        fs.move(path + ".part", path)
-        return pd.DataFrame({"path": [path], "events": [len(b)]})
+        out, now, done = None, None, []
+
+        def close() -> None:
+            out.close()
+            fs.move(f"{root}/{now}.lm.part", f"{root}/{now}.lm")
+
+        for b in batches:
+            for value, part in b.groupby(by, sort=False):
+                if out is None or value != now:
+                    if out is not None:
+                        close()
+                    now, n = value, int(part["__n"].iloc[0])
+                    out = fs.open_output_stream(f"{root}/{now}.lm.part", compression=None)
+                    out.write(header(n * EVENT.itemsize))
+                    done.append((f"{root}/{now}.lm", n))
+                out.write(encode_events(part))
+        if out is not None:
+            close()
+        yield pd.DataFrame(done, columns=["path", "events"])
 
     cols = list(dict.fromkeys([by, *order, "ip", "ch", "vendor_energy", "vendor_time"]))
-    return codec.encode_event(singles, **options).select(cols).groupBy(by).applyInPandas(run, "path string, events bigint")
+    events = codec.encode_event(singles, **options).select(cols)
+    counts = events.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
+    dealt = events.join(counts, by).repartition(by).sortWithinPartitions(by, *order)
+    return dealt.mapInPandas(run, "path string, events bigint")
 
 
 def _frames(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
