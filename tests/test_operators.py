@@ -48,6 +48,27 @@ def test_fold_carries_over_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_bridge(spark):
+    """A queue of two: arrivals at 0, 1, 2, 3 that take 10 each, and one at 100."""
+    df = spark.createDataFrame([(0, i, t, 10) for i, t in enumerate([0, 1, 2, 3, 100])], "k int, n int, t bigint, cost bigint")
+    run = lambda block: [(r["outcome"], r["finish"]) for r in folds.bridge(df, ["k"], ["n"], "t", "cost", 2, block).orderBy("n").collect()]
+    assert run(True) == [("taken", 10), ("taken", 20), ("blocked", 30), ("blocked", 40), ("taken", 110)]
+    assert run(False) == [("taken", 10), ("taken", 20), ("dropped", None), ("dropped", None), ("taken", 110)]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tickfuse import __main__ as cli
+    from tickfuse.sources import generators
+
+    cli.main(["list"])
+    assert "prompt_pairs" in capsys.readouterr().out.split()
+    cli.main(["run", "segment_inventory", "/root/testdata/sf0.001", str(tmp_path / "q")])
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
+    generators.singles(spark, 2000, 0, 10**7, 48, 9).write.parquet(str(tmp_path / "s"))
+    cli.main(["pair", str(tmp_path / "s"), str(tmp_path / "p")])
+    assert {r["kind"] for r in spark.read.parquet(str(tmp_path / "p")).select("kind").distinct().collect()} <= {"prompt", "delay"}
+
+
 def test_tile_and_even_split(spark):
     df = spark.range(10).select(F.lit(0).alias("g"), "id")
     parts = [r["part"] for r in sequence.tile_split(df, ["g"], ["id"], 3, F.lit(2)).orderBy("id").collect()]
@@ -65,6 +86,18 @@ def test_interval_fixture(spark):
     assert clock.alignment(ev).first()["spread_ns"] == 13004000
 
 
+def test_overlaps_of_all_lengths(spark):
+    """Long and short intervals together, against all pairs; the longest would touch a million bins."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, s, s + rng.choice([1, 3, 10, 40, 1000, 10**6])) for i in range(120) for s in [rng.randrange(-2000, 2000)]]
+    df = spark.createDataFrame(rows, "idx bigint, start_ns bigint, end_ns bigint")
+    want = sorted((i, j, min(e, f) - max(s, t)) for i, s, e in rows for j, t, f in rows if i < j and s < f and t < e)
+    assert sorted(map(tuple, interval_join.overlaps(df, 1).collect())) == want
+    assert sorted(map(tuple, interval_join.overlaps(df, 37).collect())) == want
+
+
 def test_gap_tolerance(spark):
     df = spark.createDataFrame([(0, 0, 10), (1, 15, 20), (2, 100, 110)], "idx bigint, start_ns bigint, end_ns bigint")
     assert interval_join.merge_decisions(df, 5, 7).count() == 1

@@ -121,10 +121,30 @@ def test_batches_survive_a_restart(spark, tmp_path):
     live.control("FLUSH")
     second.flush()  # a second flush adds nothing
     assert sorted(map(tuple, second.pairs().collect())) == want
-    totals = coincidence.totals(live.query, second.pairs())
+    third = make("cut")  # after a flush, new rows don't meet what was flushed
+    g.where("t < 400").write.mode("append").parquet(str(tmp_path / "in"))
+    coincidence.run_batches(stream(), third, str(tmp_path / "cp2"))
+    new = [r for r in map(tuple, third.pairs().collect()) if r not in want]
+    assert len(new) + len(want) == third.pairs().count() and {r[-1] for r in new} <= {max(x[-1] for x in want) + 1}
+    totals = coincidence.totals(live.query, second.pairs().where(F.col("batch") <= max(x[-1] for x in want)))
     assert totals["prompt"] + totals["delay"] == len(want)
 
 
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tickfuse import storage
+
+    conf = {}
+    session = lambda master: SimpleNamespace(conf=SimpleNamespace(get=conf.get, set=conf.__setitem__), sparkContext=SimpleNamespace(master=master))
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            storage.shared_dir(session(master))
+    assert storage.shared_dir(session("local[4]")).startswith("file://")
+    conf["spark.checkpoint.dir"] = "hdfs://shared"
+    assert storage.shared_dir(session("yarn")) == "hdfs://shared"
+
+
 def test_vendor_round_trip(spark, tmp_path):
     s = spark.createDataFrame([(0, i, i % 288, i * 100, 1000.0 * i) for i in range(10)], "run int, channel int, crystal int, time_100fs bigint, energy double")
     assert vendor.write_listmode(s, str(tmp_path / "lm"), "run", ["time_100fs"]).first()["events"] == 10

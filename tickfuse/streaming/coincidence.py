@@ -56,6 +56,10 @@ def bounded_state(spark: SparkSession, budget_mb: int = 2048) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(budget_mb))
 
 
+#: Added to a micro-batch's number where the flush after it writes.
+FLUSH = 1_000_000_000
+
+
 class WatermarkBatches:
     """Coincidences batch by batch, as a master process that waits for all nodes does it.
 
@@ -66,36 +70,43 @@ class WatermarkBatches:
     lost or there twice. Folders of state that no restart can need are deleted.
     """
 
-    META = "last map<string,bigint>, mark bigint, batches bigint, flushed boolean"
+    META = "last map<string,bigint>, mark bigint, batches bigint"
 
     def __init__(self, spark: SparkSession, out: str, state: str, nodes: int, margin: int, pair: Callable[[DataFrame], DataFrame], node: str = "node_id", t: str = "t"):
         self.spark, self.out, self.state, self.nodes, self.margin, self.pair, self.node, self.t = spark, out, state, nodes, margin, pair, node, t
 
+    def _path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _there(self, path: str) -> bool:
+        p, fs = self._path(f"{path}/_SUCCESS")
+        return fs.exists(p)
+
     def _steps(self) -> list[int]:
         """Micro-batches whose state is complete."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.state)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [f.getPath().getName() for f in fs.listStatus(root)]
-        return sorted(int(n) for n in names if n.isdigit() and fs.exists(done(f"{self.state}/{n}/meta/_SUCCESS")))
+        root, fs = self._path(self.state)
+        names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+        return sorted(int(n) for n in names if n.isdigit() and self._there(f"{self.state}/{n}/meta"))
 
     def _load(self, before: int) -> tuple[dict, DataFrame | None, int | None]:
+        """The state after the last micro-batch before this one; after a flush, with nothing in the buffer."""
         steps = [n for n in self._steps() if n < before]
         if not steps:
-            return {"last": {}, "mark": 0, "batches": 0, "flushed": False}, None, None
+            return {"last": {}, "mark": 0, "batches": 0}, None, None
         at = steps[-1]
         meta = self.spark.read.schema(self.META).parquet(f"{self.state}/{at}/meta").first().asDict()
-        return meta, self.spark.read.parquet(f"{self.state}/{at}/buffer"), at
+        buffer = self.spark.read.parquet(f"{self.state}/{at}/buffer")
+        if self._there(f"{self.state}/{at}/flushed"):
+            return meta | {"batches": meta["batches"] + 1}, buffer.limit(0), at
+        return meta, buffer, at
 
     def _save(self, step: int, meta: dict, held: DataFrame) -> None:
         held.write.mode("overwrite").parquet(f"{self.state}/{step}/buffer")
-        self.spark.createDataFrame([tuple(meta[k] for k in ("last", "mark", "batches", "flushed"))], self.META).coalesce(1).write.mode("overwrite").parquet(f"{self.state}/{step}/meta")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        self.spark.createDataFrame([(meta["last"], meta["mark"], meta["batches"])], self.META).coalesce(1).write.mode("overwrite").parquet(f"{self.state}/{step}/meta")
         for old in [n for n in self._steps() if n < step][:-1]:  # the last micro-batch before this may be run again
-            gone = path(f"{self.state}/{old}")
-            gone.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(gone, True)
+            gone, fs = self._path(f"{self.state}/{old}")
+            fs.delete(gone, True)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         meta, buffer, _ = self._load(batch_id)
@@ -110,7 +121,7 @@ class WatermarkBatches:
             due, held = ordering.split_at(held, mark, self.t)
             self._emit(due, batches, batch_id)
             batches += 1
-        self._save(batch_id, {"last": last, "mark": max(mark, meta["mark"]), "batches": batches, "flushed": False}, held)
+        self._save(batch_id, {"last": last, "mark": max(mark, meta["mark"]), "batches": batches}, held)
 
     def _emit(self, due: DataFrame, number: int, step: int) -> None:
         self.pair(due).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{self.out}/step={step}")
@@ -118,9 +129,9 @@ class WatermarkBatches:
     def flush(self) -> None:
         """Pairs what is left, whatever the watermark, once; a flush that is run again replaces what it wrote."""
         meta, buffer, at = self._load(1 << 62)
-        if buffer is not None and not meta["flushed"]:
-            self._emit(buffer, meta["batches"], at + 1_000_000_000)
-            self._save(at + 1, meta | {"batches": meta["batches"] + 1, "flushed": True}, buffer.limit(0))
+        if buffer is not None and not self._there(f"{self.state}/{at}/flushed"):
+            self._emit(buffer, meta["batches"], at + FLUSH)
+            self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.state}/{at}/flushed")
 
     def pairs(self) -> DataFrame:
         """All that was written."""
