@@ -59,9 +59,12 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     """
     n_lines, n_dropped, total = (free(pages, n) for n in ("n_lines", "n_dropped", "host_pages"))
     src = pages.select(F.struct(*pages.columns).alias("__row"), F.col(host).alias("__h"), F.col(text).alias("__text"))
-    lines = F.split(F.col(text), "\n")
+    lines = F.array_distinct(F.transform(F.split(F.col(text), "\n"), trimmed))
     own = text_key(F.col(text)) if by_text else []
-    each = pages.select(F.col(host).alias("__h"), *own, F.explode(F.array_distinct(F.transform(lines, trimmed))).alias("line")).where("line <> ''")
+    # The text's key goes through the generator with its lines; beside it, it would be made anew for each line.
+    each = pages.select(F.col(host).alias("__h"), F.struct(*own, F.lit(0)).alias("__t"), lines.alias("__l"))
+    each = each.select("__h", F.explode(F.arrays_zip("__l", F.array_repeat("__t", F.size("__l")))).alias("__e"))
+    each = each.select("__h", F.col("__e.__l").alias("line"), *[F.col("__e").getField("1").getField(t).alias(t) for t in ("t1", "t2") if by_text]).where("line <> ''")
     each = each.select("__h", *(["t1", "t2"] if by_text else []), *line_key(F.col("line")))
     hosts = pages.groupBy(F.col(host).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
     base = hosts
@@ -81,7 +84,10 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     out = out.withColumn("__lines", F.transform(F.split("__text", "\n"), lambda s: F.struct(s.alias("raw"), trimmed(s).alias("bare"))))
     keys = F.transform("__lines", lambda s: F.when(s["bare"] != "", as_text(*line_key(s["bare"]))))
     out = out.withColumn("__keys", keys).withColumn("__bad", F.coalesce(F.array_intersect("__keys", "__common"), F.array().cast("array<string>")))
-    out = out.withColumn("__kept", F.transform(F.filter(F.arrays_zip("__lines", "__keys"), lambda s: s["__keys"].isNull() | ~F.array_contains(F.col("__bad"), s["__keys"])), lambda s: s["__lines"]))
+    # Most pages have none of it, and keep their lines as they are. (A column that is read once only, inside a lambda, would be
+    # made anew for each line: the planner puts its expression there.)
+    good = F.filter(F.arrays_zip("__lines", "__keys"), lambda s: s["__keys"].isNull() | ~F.array_contains(F.col("__bad"), s["__keys"]))
+    out = out.withColumn("__kept", F.when(F.size("__bad") == 0, F.col("__lines")).otherwise(F.transform(good, lambda s: s["__lines"])))
     real = lambda c: F.when(F.col("__text").isNull(), F.lit(0)).otherwise(F.size(F.filter(c, lambda s: s["bare"] != ""))).cast("bigint")
     out = out.withColumns({"__n_lines": real("__lines"), "__n_kept": real("__kept")})
     new = F.when(F.col("__text").isNotNull(), F.array_join(F.transform("__kept", lambda s: s["raw"]), "\n"))
