@@ -19,25 +19,6 @@ def test_against_sql(spark, name):
     assert oracle.rows(df) == oracle.sql_rows(oracle.connect(SF), ORACLES[name], df.columns)
 
 
-def test_pipeline_by_hand(spark):
-    import corpus_pipeline
-
-    from tickfuse.llm import decontamination, near_dup, quality
-
-    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    got = corpus_pipeline.run(spark, SF)
-    good = {r["doc_id"] for r in quality.scores(docs, quality.fit(docs, labels)).where("predicted = 1").collect()}
-    step = corpus_pipeline.quality_stage(spark, docs, SF)
-    assert {r["doc_id"] for r in step.collect()} == good
-    step = corpus_pipeline.line_stage(spark, step, SF)
-    assert {r["doc_id"] for r in step.collect()} == good and step.columns == docs.columns
-    lone = {r["doc_id"] for r in near_dup.near_duplicates(step).where("doc_id = class_id").collect()}
-    step = corpus_pipeline.near_duplicate_stage(spark, step, SF)
-    assert {r["doc_id"] for r in step.collect()} == lone
-    bad = {r["doc_id"] for r in decontamination.contamination(step, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").collect()}
-    assert {r["doc_id"] for r in got.collect()} == lone - bad
-
-
 def plain_shingles(text):
     w = [x for x in re.split("[\\x20\\x09-\\x0D]+", (text or "").lower()) if x]
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
