@@ -158,7 +158,7 @@ def plausible_samples(spark, d):
     return clock.plausible(s, "client_ns", "server_ns")
 
 
-@query("SELECT c_custkey, least(c_custkey * 100000000, 4294967295) AS saturated, CASE WHEN c_custkey % 5 > 0 THEN c_custkey * 1024 / 1048576.0::DOUBLE / (c_custkey % 5) END AS mib_per_s, CASE WHEN c_custkey * 1000000000 >= 3000000000000 THEN 18446744073709551615 ELSE c_custkey * 1000000000 * 131072 * 64 END::DECIMAL(20, 0) AS reserved FROM customer")
+@query("SELECT c_custkey, least(c_custkey * 100000000, 4294967295) AS saturated, CASE WHEN c_custkey % 5 > 0 THEN c_custkey * 1024 / 1048576.0::DOUBLE / (c_custkey % 5) END AS mib_per_s, CASE WHEN c_custkey * 1000000000 >= 3000000000000 THEN 18446744073709551615 ELSE c_custkey::HUGEINT * 1000000000 * 131072 * 64 END::DECIMAL(20, 0) AS reserved FROM customer")
 def scalar_limits(spark, d):
     k = F.col("c_custkey")
     gibit = F.when(k * 1_000_000_000 >= 3_000_000_000_000, F.lit(1e16)).otherwise((k * 1_000_000_000).cast("double"))
