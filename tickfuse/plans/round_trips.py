@@ -217,12 +217,16 @@ def paired_rings(spark, d):
     return control.pair_rings(dirs, 8, on, 144)
 
 
-@query("SELECT DISTINCT n_regionkey AS node, n_nationkey AS n, n_name AS state FROM nation WHERE false")
+@query("""WITH s AS (SELECT o_custkey % 50 AS node, o_orderkey AS n, CASE o_orderpriority[1] WHEN '2' THEN 'RUNNING' WHEN '3' THEN 'ERROR' WHEN '4' THEN 'IDLE' ELSE 'CONFIGURED' END AS state FROM orders),
+l AS (SELECT *, lag(state, 1, 'IDLE') OVER (PARTITION BY node ORDER BY n) AS prev_state FROM s)
+SELECT node, n, prev_state, state FROM l WHERE NOT CASE state WHEN 'CONFIGURED' THEN true WHEN 'RUNNING' THEN prev_state = 'CONFIGURED' WHEN 'ERROR' THEN prev_state <> 'ERROR' ELSE prev_state <> 'IDLE' END""")
 def state_faults(spark, d):
-    """No fault: each region's nations, in order, as the states of a node that is configured, runs, stops and shuts down."""
-    k = F.col("n_nationkey")
-    n = v.read(spark, d, "nation").select(F.col("n_regionkey").alias("node"), k.alias("n"), F.lit("CONFIGURED").alias("state"))
-    return control.bad_transitions(n, "node", "state", "n").select("node", "n", "state")
+    """Changes of state that may not be: a node configures from any state, runs once configured, fails from any state but
+    failure, and shuts down from any but idle."""
+    first = F.substring("o_orderpriority", 1, 1)
+    state = F.when(first == "2", "RUNNING").when(first == "3", "ERROR").when(first == "4", "IDLE").otherwise("CONFIGURED")
+    log = v.read(spark, d, "orders").select((F.col("o_custkey") % 50).alias("node"), F.col("o_orderkey").alias("n"), state.alias("state"))
+    return control.bad_transitions(log, "node", "state", "n").select("node", "n", "prev_state", "state")
 
 
 @query(f"SELECT id, node_id, (row_number() OVER (PARTITION BY node_id ORDER BY t, late, id) - 1)::INT AS place FROM (SELECT *, id % 3 = 0 AS late FROM ({v.SINGLES})) QUALIFY place < 5")
