@@ -59,21 +59,21 @@ def drop_boilerplate(pages: DataFrame, page_id: str, host: str, text: str, ratio
     """
     n_lines, n_dropped, total = (free(pages, n) for n in ("n_lines", "n_dropped", "host_pages"))
     src = pages.select(F.struct(*pages.columns).alias("__row"), F.col(host).alias("__h"), F.col(text).alias("__text"))
-    lines = F.array_distinct(F.transform(F.split(F.col(text), "\n"), trimmed))
+    # Every text has the blank line, whatever it holds: so many pages have that line as the host has pages, or texts.
+    blank = F.array(F.lit(""))
+    lines = F.array_union(F.coalesce(F.transform(F.split(F.col(text), "\n"), trimmed), blank), blank)
     own = text_key(F.col(text)) if by_text else []
     # The text's key goes through the generator with its lines; beside it, it would be made anew for each line.
     each = pages.select(F.col(host).alias("__h"), F.struct(*own, F.lit(0)).alias("__t"), lines.alias("__l"))
     each = each.select("__h", F.explode(F.arrays_zip("__l", F.array_repeat("__t", F.size("__l")))).alias("__e"))
-    each = each.select("__h", F.col("__e.__l").alias("line"), *[F.col("__e").getField("1").getField(t).alias(t) for t in ("t1", "t2") if by_text]).where("line <> ''")
-    each = each.select("__h", *(["t1", "t2"] if by_text else []), *line_key(F.col("line")))
+    each = each.select("__h", (F.col("__e.__l") == "").alias("__b"), *line_key(F.col("__e.__l")), *[F.col("__e").getField("1").getField(t).alias(t) for t in ("t1", "t2") if by_text])
     hosts = pages.groupBy(F.col(host).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
-    base = hosts
-    if by_text:
-        each = each.distinct()
-        base = pages.select(F.col(host).alias("__h"), *own).distinct().groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
     # Counts meet in map-side sums, hot lines and hot hosts too.
-    counts = each.groupBy("__h", "k1", "k2").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") >= least)
-    common = attach(counts, base, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__n")).select("__h", "k1", "k2")
+    each = each.distinct() if by_text else each
+    counts = each.groupBy("__h", "__b", "k1", "k2").agg(F.count(F.lit(1)).alias("__c"))
+    counts = table(counts.where((F.col("__c") >= least) | F.col("__b")), "line-counts")
+    base = counts.where("__b").select("__h", F.col("__c").alias("__of"))
+    common = attach(counts.where("not __b"), base, ["__h"], "inner").where(F.col("__c") > F.lit(float(ratio)) * F.col("__of")).select("__h", "k1", "k2")
     # How many there are is bounded by the pages: at most 1 / ratio lines a page could each be in so many of them.
     per_host = common.groupBy("__h").agg(F.collect_set(as_text(F.col("k1"), F.col("k2"))).alias("__common"))
     # One row a host, written first: its size is known then, and only a small one is broadcast; pages stay where they are.
