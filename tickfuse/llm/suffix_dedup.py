@@ -51,7 +51,7 @@ def hot_anchors(docs: DataFrame, share: float = HOT, looked: int = LOOKED) -> np
     return np.sort(np.array([r["anchor"] for r in got], np.int64)).view(np.uint64)
 
 
-def _runs(hot: np.ndarray, most: int = 1 << 20):
+def _runs(hot: np.ndarray, most: int = 1 << 19):
     """(doc, tag, text) to (key, salt, span, span2, doc, tag, place). A run that equals an earlier one of this task is settled
     here: its place is negative and its key random, so that a frequent passage sends one row per task to its bucket. Runs of
     a hot anchor have a salt above 0, by their name."""
