@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import PACKET
+from .listing import PREFIX
 
 MAGIC, HEAD, FOOT = b"TFPACK01", struct.Struct("<QQIQ"), struct.Struct("<IH8s")
 
@@ -108,7 +109,7 @@ def read(spark: SparkSession, path: str, segments_per_partition: int = 16) -> Da
     return spark.read.format("rawpackets").option("segmentsPerPartition", segments_per_partition).load(path)
 
 
-def write(packets: DataFrame, folder: str, channel_num: int, prefix: str = "pniRaw-") -> DataFrame:
+def write(packets: DataFrame, folder: str, channel_num: int, prefix: str = PREFIX) -> DataFrame:
     """One file per input clock, prefix<clock>.bin, written where the clock's packets are; returns path and segments.
     A task holds one segment at a time. A file is complete once it has its name."""
 
