@@ -475,6 +475,27 @@ def test_hot_bucket_in_parts(spark, runs_held):
     assert sorted(map(tuple, suffix_dedup.repeated_bytes(df, runs_held=runs_held, hot=hot).collect())) == sorted(cut_plainly(rows))
 
 
+def test_near_copies_make_few_rows(spark, monkeypatch):
+    """A hot bucket of near copies: its parts meet in blocks of windows, so a run makes a few rows and not one a window."""
+    rng, base, made = random.Random(5), words(random.Random(1), 80, 5000).split(), {}
+
+    def counted(df, name, real=suffix_dedup.table):
+        got = real(df, name)
+        made[name] = max(made.get(name, 0), got.count())
+        return got
+
+    rows = []
+    for i in range(120):
+        t = list(base)
+        t[rng.randrange(len(t))] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(t)))
+    rows += [(i, "ab" * i + rows[i - 120][1] + "x" * i) for i in range(120, 140)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(suffix_dedup, "table", counted)
+    assert sorted(map(tuple, suffix_dedup.repeated_bytes(df, runs_held=7).collect())) == sorted(cut_plainly(rows))
+    assert 0 < made["suffix-windows"] < made["suffix-runs"] and 0 < made["suffix-blocks"] < made["suffix-runs"]
+
+
 def test_repeated_ids_are_documents(spark):
     a, b = words(random.Random(1), 60, 10**6), words(random.Random(2), 60, 10**6)
     for ids in ((1, None, None), (1, 2, 2), (2, 2, 2), (None, None, None)):

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import WINDOW, runs
+from .anchors import WINDOW, K, runs
 from .common import attach, row_key, table
 from .words import chunks, mix, prefix, spans
 
@@ -27,6 +27,9 @@ from .words import chunks, mix, prefix, spans
 PACK = 128
 #: Runs of a bucket that one task compares at once; a bucket of more is cut into parts, whose first suffixes then meet by name.
 RUNS = 512
+#: Those suffixes meet in blocks of so many offsets of the anchor, by the bytes that all windows of a block share: what has
+#: them in one part only is settled, the rest goes on in smaller blocks. The last is a single window.
+STEPS = (16, 4, 1)
 #: Rows of runs that are looked at together.
 ROWS = 2048
 LAST = (1 << 63) - 1
@@ -167,10 +170,55 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield give(rows)
 
 
+LEADS = {"doc": pa.int64(), "tag": pa.int64(), "place": pa.int64(), "name": pa.int64(), "name2": pa.int64(), "anchor": pa.int64(), "part": pa.int64(), "left": pa.int64(), "bytes": pa.binary()}
+
+
+def _left(sums: np.ndarray, begin: np.ndarray, n: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """The anchor's offset in the first window of each run: the first place of its bytes that the run's last window has."""
+    size = WINDOW - K + 2 - n
+    run = np.repeat(np.arange(len(n)), size)
+    at = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size) + (n - 1)[run]
+    hit = spans(sums, begin[run] + at, begin[run] + at + K) == anchor.view(np.uint64)[run]
+    out = np.full(len(n), WINDOW - K)
+    np.minimum.at(out, run[hit], at[hit])
+    return out
+
+
+def _blocks(sums: list[np.ndarray], begin: np.ndarray, left: np.ndarray, run: np.ndarray, inner: np.ndarray, want: np.ndarray, step: int) -> tuple[np.ndarray, ...]:
+    """Maximal runs of wanted windows with anchor offsets in one block of `step`: run, first window in it, windows, and both
+    names of the bytes that every window of that block covers, which equal windows have in common."""
+    block = (left[run] - inner) // step
+    edge = np.ones(len(run), bool)
+    edge[1:] = (run[1:] != run[:-1]) | (block[1:] != block[:-1]) | (want[1:] != want[:-1])
+    a = np.flatnonzero(edge & want)
+    z = np.flatnonzero(np.append(edge[1:], True) & want) + 1
+    block, at = block[a], (begin + left)[run[a]]
+    most = np.minimum(block * step + step - 1, WINDOW - K)
+    names = (mix(spans(p, at - block * step, at + WINDOW - most) ^ block.astype(np.uint64)) for p in sums)
+    return run[a], inner[a], z - a, *names
+
+
+def _finer(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
+    """Leads to those of blocks of `step` offsets in them; single windows without bytes."""
+    for b in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
+        doc, tag, place, _, _, anchor, part, left = (b.column(i).to_numpy(zero_copy_only=False) for i in range(8))
+        text = b.column(8).to_pylist()
+        buf = np.frombuffer(b"".join(text), np.uint8)
+        begin = np.concatenate(([0], np.cumsum([len(t) for t in text])))[:-1].astype(np.int64)
+        n = place % PACK
+        run = np.repeat(np.arange(len(n)), n)
+        inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        r, first, size, name, name2 = _blocks([prefix(buf, t) for t in (0, 1)], begin, left, run, inner, np.ones(len(run), bool), step)
+        own = [text[i][a : a + m + WINDOW - 1] if step > 1 else None for i, a, m in zip(r.tolist(), first.tolist(), size.tolist(), strict=True)]
+        cols = [doc[r], tag[r], (place[r] // PACK + first) * PACK + size, name.view(np.int64), name2.view(np.int64), anchor[r], part[r], left[r] - first, own]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, LEADS.values(), strict=True)], list(LEADS))
+
+
 def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.RecordBatch]:
     """Runs with their bytes, sorted by (anchor, part, doc, tag, place), to the suffixes that start earlier too in their part,
-    as runs (doc, tag, place) of null name; and, of buckets that have several parts, the first suffix of each name with that
-    name and anchor. What is held is whole parts, of at most `runs_held` runs each."""
+    as runs (doc, tag, place) of null name; and, of buckets that have several parts, the first suffix of each name, in blocks
+    of the first of STEPS with their names, anchor, part and bytes. What is held is whole parts, of at most `runs_held` runs
+    each."""
 
     def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         all_ = pa.Table.from_batches(held).combine_chunks()
@@ -183,15 +231,15 @@ def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.R
         whole = np.array([len(t) for t in text]) >= n + WINDOW - 1
         anchor, part, doc, tag, place, n, several = (x[whole] for x in (anchor, part, doc, tag, place, n, several))
         text = [t for t, ok in zip(text, whole.tolist(), strict=True) if ok]
-        names = ["doc", "tag", "place", "name", "name2", "anchor"]
         if not len(n):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 6, names)
+            return pa.RecordBatch.from_arrays([pa.array([], k) for k in LEADS.values()], list(LEADS))
         buf = np.frombuffer(b"".join(text), np.uint8)
         begin = np.concatenate(([0], np.cumsum([len(t) for t in text])))[:-1].astype(np.int64)
         run = np.repeat(np.arange(len(n)), n)
         inner = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
         s = begin[run] + inner
-        name, name2 = (spans(prefix(buf, t), s, s + WINDOW) for t in (0, 1))
+        sums = [prefix(buf, t) for t in (0, 1)]
+        name, name2 = (spans(p, s, s + WINDOW) for p in sums)
         wdoc, wtag, start = doc[run], tag[run], (place // PACK)[run] + inner
         bucket = np.cumsum(np.concatenate(([0], ((anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])).astype(np.int64))))[run]
         order = np.lexsort((start, wtag, wdoc, name2, name, bucket))
@@ -208,10 +256,16 @@ def _compare(batches: Iterator[pa.RecordBatch], runs_held: int) -> Iterator[pa.R
         edge[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
         starts = np.flatnonzero(edge & d)
         ends = np.flatnonzero(np.append(edge[1:], True) & d) + 1
-        unknown = np.concatenate((np.ones(len(starts), bool), np.zeros(int(lead.sum()), bool)))
-        places = np.concatenate((start[starts] * PACK + (ends - starts), start[lead] * PACK + 1))
-        known = [np.concatenate((np.zeros(len(starts), np.int64), x[lead].view(np.int64))) for x in (name, name2, anchor[run])]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((wdoc[starts], wdoc[lead]))), pa.array(np.concatenate((wtag[starts], wtag[lead]))), pa.array(places), *[pa.array(x, mask=unknown) for x in known]], names)
+        none, places = [None] * len(starts), start[starts] * PACK + (ends - starts)
+        if not lead.any():
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((wdoc[starts], wtag[starts], places, *[none] * 6), LEADS.values(), strict=True)], list(LEADS))
+        left = _left(sums[0], begin, n, anchor)
+        r, first, size, *names = _blocks(sums, begin, left, run, inner, lead, STEPS[0])
+        own = [text[i][x : x + m + WINDOW - 1] for i, x, m in zip(r.tolist(), first.tolist(), size.tolist(), strict=True)]
+        unknown = np.arange(len(starts) + len(r)) < len(starts)
+        known = [pa.array(np.concatenate((np.zeros(len(starts), np.int64), x)), mask=unknown) for x in (*(y.view(np.int64) for y in names), anchor[r], part[r], left[r] - first)]
+        places = np.concatenate((places, (place[r] // PACK + first) * PACK + size))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((doc[run[starts]], doc[r]))), pa.array(np.concatenate((tag[run[starts]], tag[r]))), pa.array(places), *known, pa.array(none + own, pa.binary())], list(LEADS))
 
     held: list[pa.RecordBatch] = []
     for b in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
@@ -260,9 +314,13 @@ def repeated_runs(docs: DataFrame, runs_held: int = RUNS, hot: np.ndarray | None
     packed = docs.mapInArrow(_pack, "doc bigint, tag bigint, packed binary")
     texts = packed.join(unclear, ["doc", "tag"]).select("doc", "tag", "packed", "runs").mapInArrow(_contexts, "anchor bigint, part bigint, doc bigint, tag bigint, place bigint, bytes binary")
     parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "tag", "place")
-    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), "doc bigint, tag bigint, place bigint, name bigint, name2 bigint, anchor bigint"), "suffix-windows")
-    # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
+    leads = "doc bigint, tag bigint, place bigint, name bigint, name2 bigint, anchor bigint, part bigint, left bigint, bytes binary"
+    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), leads), "suffix-windows")
     named, name = more.where("name is not null"), ["anchor", "name", "name2"]
+    for step in STEPS[1:]:
+        shared = named.groupBy(*name).agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select(*name)
+        named = table(attach(named, shared, name, "inner").mapInArrow(lambda b, step=step: _finer(b, step), leads), "suffix-blocks")
+    # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
     place = F.struct("doc", "tag", "place")
     across = attach(named, named.groupBy(*name).agg(F.min(place).alias("least")), name, "inner").where(place != F.col("least"))
     cols = ["doc", "tag", "place"]
