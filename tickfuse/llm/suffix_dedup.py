@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WINDOW, K, runs
-from .common import attach, row_key, table
+from .common import attach, lean, row_key, table
 from .words import chunks, mix, prefix, spans
 
 #: A run's place as one number: first window * PACK + windows (a run has fewer than PACK, as its windows share an anchor).
@@ -48,7 +48,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def hot_anchors(docs: DataFrame, share: float = HOT, looked: int = LOOKED) -> np.ndarray:
     """Anchors that hold at least `share` of the runs in one of `looked` documents, so 1 / share at most."""
     some = docs.where(F.pmod(F.xxhash64("doc", "tag"), F.lit(looked)) == 0).select("text")
-    counts = table(some.mapInArrow(_anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")), "suffix-anchors")
+    counts = table(some.mapInArrow(lean(_anchors), "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")), "suffix-anchors")
     total = counts.agg(F.sum("n")).first()[0] or 0
     got = counts.where(F.col("n") >= max(4, share * total)).select("anchor").collect()
     return np.sort(np.array([r["anchor"] for r in got], np.int64)).view(np.uint64)
@@ -306,23 +306,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_runs(docs: DataFrame, runs_held: int = RUNS, hot: np.ndarray | None = None) -> DataFrame:
     """docs: doc, tag (bigint), text. Returns (doc, tag, place): runs of windows that also start earlier, as start * PACK + windows."""
     hot = hot_anchors(docs) if hot is None else hot
-    found = docs.mapInArrow(_runs(hot), "key bigint, salt int, span bigint, span2 bigint, doc bigint, tag bigint, place bigint")
+    found = docs.mapInArrow(lean(_runs(hot)), "key bigint, salt int, span bigint, span2 bigint, doc bigint, tag bigint, place bigint")
     dealt = found.repartition("key", "salt").sortWithinPartitions("key", "salt", "span", "span2", "doc", "tag", "place")
-    found = table(dealt.mapInArrow(lambda b: _resolve(b, runs_held), "doc bigint, tag bigint, place bigint, anchor bigint, part bigint"), "suffix-runs")
+    found = table(dealt.mapInArrow(lean(lambda b: _resolve(b, runs_held)), "doc bigint, tag bigint, place bigint, anchor bigint, part bigint"), "suffix-runs")
     # A document's list is of its own runs, fewer bytes than its text.
     unclear = found.where("anchor is not null").groupBy("doc", "tag").agg(F.collect_list(F.struct("place", "anchor", "part")).alias("runs"))
-    packed = docs.mapInArrow(_pack, "doc bigint, tag bigint, packed binary")
-    texts = packed.join(unclear, ["doc", "tag"]).select("doc", "tag", "packed", "runs").mapInArrow(_contexts, "anchor bigint, part bigint, doc bigint, tag bigint, place bigint, bytes binary")
+    packed = docs.mapInArrow(lean(_pack), "doc bigint, tag bigint, packed binary")
+    texts = packed.join(unclear, ["doc", "tag"]).select("doc", "tag", "packed", "runs").mapInArrow(lean(_contexts), "anchor bigint, part bigint, doc bigint, tag bigint, place bigint, bytes binary")
     parts = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "tag", "place")
     leads = "doc bigint, tag bigint, place bigint, name bigint, name2 bigint, anchor bigint, part bigint, left bigint, bytes binary"
-    more = table(parts.mapInArrow(lambda b: _compare(b, runs_held), leads), "suffix-windows")
+    more = table(parts.mapInArrow(lean(lambda b: _compare(b, runs_held)), leads), "suffix-windows")
+    # The names grow with the input: sorted, never broadcast.
     named, name = more.where("name is not null"), ["anchor", "name", "name2"]
     for step in STEPS[1:]:
         shared = named.groupBy(*name).agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select(*name)
-        named = table(attach(named, shared, name, "inner").mapInArrow(lambda b, step=step: _finer(b, step), leads), "suffix-blocks")
+        named = table(attach(named, shared.hint("merge"), name, "inner").mapInArrow(lean(lambda b, step=step: _finer(b, step)), leads), "suffix-blocks")
     # A name has at most one suffix here from each part of its bucket; all but the earliest of them go.
     place = F.struct("doc", "tag", "place")
-    across = attach(named, named.groupBy(*name).agg(F.min(place).alias("least")), name, "inner").where(place != F.col("least"))
+    across = attach(named, named.groupBy(*name).agg(F.min(place).alias("least")).hint("merge"), name, "inner").where(place != F.col("least"))
     cols = ["doc", "tag", "place"]
     settled = found.where("anchor is null").select(cols).unionByName(more.where("name is null").select(cols))
     return settled.unionByName(across.select(cols))
@@ -347,6 +348,6 @@ def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     else:
         src = attach(src, clash, ["doc"]).select("doc", F.when(F.col("clash"), key).otherwise(none).alias("tag"), "text")
     gone = repeated_runs(src, runs_held, hot).groupBy("doc", "tag").agg(F.collect_list("place").alias("places"))
-    packed = src.mapInArrow(_pack, "doc bigint, tag bigint, packed binary")
-    out = packed.join(gone, ["doc", "tag"], "left").select("doc", "packed", "places").mapInArrow(_cut, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    packed = src.mapInArrow(lean(_pack), "doc bigint, tag bigint, packed binary")
+    out = packed.join(gone, ["doc", "tag"], "left").select("doc", "packed", "places").mapInArrow(lean(_cut), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
